@@ -1,0 +1,5 @@
+"""Intentionally empty: every operation this engine covers is a dated batch run.
+
+:func:`serplens.operators.update.merge_metadata` is keyed and idempotent, so it
+can be called from ``foreachBatch`` unchanged should a stream ever feed it.
+"""
