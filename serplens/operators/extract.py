@@ -6,198 +6,18 @@ sees only the pages worth parsing, in Arrow batches, and hands back narrow rows.
 
 from __future__ import annotations
 
-import html
-import json
 from collections.abc import Iterator
-from html.entities import html5
-from html.parser import HTMLParser
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from serplens import schemas
+from serplens.operators import page_reader
 
-NO_HEAD = "no <head> found"
-JSON_LD = "application/ld+json"
-
-#: Elements without content (fixed list of HTML, obsolete ones included).
-VOID = frozenset(
-    "area base br col embed hr img input keygen link menuitem meta param source track wbr "
-    "basefont bgsound command frame image isindex nextid spacer".split()
-)
-#: Elements whose text is not text of the surrounding element.
-NOT_TEXT = frozenset("script style template rt rp".split())
-
-
-class PageReader(HTMLParser):
-    """Collects the metadata of one page from the token stream.
-
-    Keeps the stack of open elements: a closing tag ends the nearest open
-    element of its name with everything left open inside it, and is ignored
-    when there is none. That decides what lies within the head, a title or a
-    heading in malformed pages too.
-    """
-
-    # Newer tokenizers would treat titles as raw text; results must not depend on that.
-    RCDATA_CONTENT_ELEMENTS = ()
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=False)
-        self.open: list[str] = []
-        self.head_depth: int | None = None
-        self.in_head = False
-        self.named: dict[str, str | None] = {}
-        self.props: dict[str, str | None] = {}
-        self.canonical: list[str | None] = []
-        self.alternates: list[dict] = []
-        self.title: list[str] | None = None
-        self.headings: list[list[str]] = []
-        self.blocks: list[str] = []
-        self._pending: list[str] = []
-        self._texts: list[tuple[int, list[str]]] = []
-        self._block: list[str] | None = None
-
-    # -- tokens ---------------------------------------------------------------
-
-    def handle_starttag(self, tag, attrs):
-        self._enter(tag, attrs)
-        if tag in VOID:
-            self._leave(tag)
-
-    def handle_startendtag(self, tag, attrs):
-        self._enter(tag, attrs)
-        self._leave(tag)
-
-    def handle_endtag(self, tag):
-        if tag not in VOID:
-            self._leave(tag)
-
-    def handle_data(self, data):
-        if self._block is not None:
-            self._block.append(data)
-        elif self._texts:
-            self._pending.append(data)
-
-    def handle_charref(self, name):
-        self.handle_data(html.unescape(f"&#{name};"))
-
-    def handle_entityref(self, name):
-        self.handle_data(html5.get(name + ";", "&" + name))
-
-    def handle_comment(self, data):
-        self._end_text()
-
-    handle_decl = handle_pi = handle_comment
-
-    def unknown_decl(self, data):
-        self._end_text()
-        if data[:6].upper() == "CDATA[":
-            self.handle_data(data[6:])
-            self._end_text()
-
-    def finish(self) -> dict:
-        self.close()
-        self._end_text()
-        if self.head_depth is None:
-            return {"error": NO_HEAD}
-        found: dict = {"title": None if self.title is None else "".join(self.title)}
-        for column, name in schemas.NAMED_META + schemas.TWITTER_META:
-            found[column] = self.named.get(name)
-        for column, name in schemas.OG_META:
-            found[column] = self.props.get(name)
-        found["canonical"] = self.canonical[0] if self.canonical else None
-        found["alternates"] = self.alternates
-        found["schema_json_ld"] = [b for b in map(valid_json, self.blocks) if b is not None] or None
-        found["h1"] = [text for text in map("".join, self.headings) if text]
-        return found
-
-    # -- elements -------------------------------------------------------------
-
-    def _enter(self, tag, attrs):
-        self._end_text()
-        values = {name: value or "" for name, value in attrs}
-        self.open.append(tag)
-        if self.in_head:
-            self._enter_in_head(tag, values)
-        elif tag == "head" and self.head_depth is None:
-            self.head_depth, self.in_head = len(self.open), True
-        if tag == "h1":
-            self.headings.append(self._collect_text())
-        elif tag == "script" and values.get("type") == JSON_LD:
-            self._block = []
-
-    def _enter_in_head(self, tag, values):
-        if tag == "title" and self.title is None:
-            self.title = self._collect_text()
-        elif tag == "meta":
-            content = values.get("content") or None
-            self.named.setdefault(values.get("name"), content)
-            self.props.setdefault(values.get("property"), content)
-        elif tag == "link":
-            rel = values.get("rel", "").split()
-            href = values.get("href") or None
-            if "canonical" in rel:
-                self.canonical.append(href)
-            if "alternate" in rel and href:
-                self.alternates.append({"href": href, "hreflang": values.get("hreflang")})
-
-    def _leave(self, tag):
-        self._end_text()
-        if tag not in self.open:
-            return
-        while self.open.pop() != tag:
-            pass
-        depth = len(self.open)
-        if self.in_head and depth < self.head_depth:
-            self.in_head = False
-        while self._texts and depth < self._texts[-1][0]:
-            self._texts.pop()
-        if self._block is not None and tag == "script":
-            self.blocks.append("".join(self._block))
-            self._block = None
-
-    # -- text -----------------------------------------------------------------
-
-    def _collect_text(self) -> list[str]:
-        pieces: list[str] = []
-        self._texts.append((len(self.open), pieces))
-        return pieces
-
-    def _end_text(self):
-        """Close the current run of text: each run is stripped on its own."""
-        if not self._pending:
-            return
-        text = "".join(self._pending).strip()
-        self._pending.clear()
-        if text and NOT_TEXT.isdisjoint(self.open):
-            for _, pieces in self._texts:
-                pieces.append(text)
-
-
-def valid_json(text: str) -> str | None:
-    """Normal form of a JSON text, NULL when it is none.
-
-    Repeated keys keep the last value and non-finite numbers become null, both
-    of which stricter readers downstream would reject.
-    """
-    try:
-        value = json.loads(text, parse_constant=lambda _: None)
-        normal = json.dumps(value, ensure_ascii=False)
-        normal.encode()
-    except UnicodeEncodeError:
-        return json.dumps(value)
-    except (ValueError, RecursionError):
-        return None
-    return normal
-
-
-def read_page(text: str) -> dict:
-    reader = PageReader()
-    reader.feed(text)
-    return reader.finish()
-
+cloudpickle.register_pickle_by_value(page_reader)
 
 _STRING_LIST = pa.list_(pa.string())
 _ARROW_TYPES = {
@@ -210,26 +30,32 @@ _ARROW_META = pa.schema([
 ])
 
 
-def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        status = batch.column("status").to_pylist()
-        errors = batch.column("error").to_pylist()
-        found = []
-        for i, text in enumerate(batch.column("html")):
-            if not text.is_valid:
-                found.append({"error": errors[i]})
-                continue
-            try:
-                found.append(read_page(text.as_py()))
-            except Exception as failure:  # one bad page must not fail the job
-                status[i] = 0
-                found.append({"error": f"{type(failure).__name__}: {failure}"})
-        kept = [c for c in batch.schema.names if c not in ("html", "status", "error")]
-        meta = pa.RecordBatch.from_pylist(found, schema=_ARROW_META)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(c) for c in kept] + [pa.array(status, pa.int32())] + meta.columns,
-            names=[*kept, "status", *meta.schema.names],
-        )
+def _batch_parser(meta_schema: pa.Schema):
+    """Arrow function that replaces ``html`` by the metadata found in it."""
+    read_page = page_reader.read_page
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            status = batch.column("status").to_pylist()
+            errors = batch.column("error").to_pylist()
+            found = []
+            for i, text in enumerate(batch.column("html")):
+                if not text.is_valid:
+                    found.append({"error": errors[i]})
+                    continue
+                try:
+                    found.append(read_page(text.as_py()))
+                except Exception as failure:  # one bad page must not fail the job
+                    status[i] = 0
+                    found.append({"error": f"{type(failure).__name__}: {failure}"})
+            kept = [c for c in batch.schema.names if c not in ("html", "status", "error")]
+            meta = pa.RecordBatch.from_pylist(found, schema=meta_schema)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in kept] + [pa.array(status, pa.int32())] + meta.columns,
+                names=[*kept, "status", *meta.schema.names],
+            )
+
+    return parse
 
 
 def extract_metadata(raw_pages: DataFrame) -> DataFrame:
@@ -248,7 +74,7 @@ def extract_metadata(raw_pages: DataFrame) -> DataFrame:
     })
     kept = [f for f in gated.schema.fields if f.name not in ("html", "status", "error")]
     out = T.StructType([*kept, T.StructField("status", T.IntegerType()), *schemas.META_VALUES.fields])
-    return gated.mapInArrow(_parse_batches, out)
+    return gated.mapInArrow(_batch_parser(_ARROW_META), out)
 
 
 def latest_per_path(pages: DataFrame, fetched: str = "fetched_at") -> DataFrame:

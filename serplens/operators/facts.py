@@ -12,20 +12,36 @@ from serplens.functions import labels
 from serplens.params import Site
 
 
-def roll_up(facts: DataFrame, dimensions: Sequence[str]) -> DataFrame:
-    """Metrics per combination of dimensions; position is weighted by impressions."""
-    summed = facts.groupBy(*dimensions).agg(
+def sum_facts(facts: DataFrame, dimensions: Sequence[str]) -> DataFrame:
+    """Additive metrics per combination of dimensions.
+
+    Accepts facts as well as earlier sums, so that a coarser grain can be had
+    from a finer one without reading the facts again.
+    """
+    weighted = F.col("weighted_position") if "weighted_position" in facts.columns \
+        else F.col("impressions") * F.col("position")
+    return facts.groupBy(*dimensions).agg(
         F.sum("clicks").alias("clicks"),
         F.sum("impressions").alias("impressions"),
-        F.sum(F.col("impressions") * F.col("position")).alias("weighted"),
+        F.sum(weighted).alias("weighted_position"),
     )
-    return summed.select(
+
+
+def as_metrics(sums: DataFrame) -> DataFrame:
+    """Click-through rate and impression-weighted position of summed facts."""
+    dimensions = [c for c in sums.columns if c not in ("clicks", "impressions", "weighted_position")]
+    return sums.select(
         *dimensions, "clicks", "impressions",
         F.coalesce(F.try_divide("clicks", "impressions"), F.lit(0.0)).alias("ctr"),
-        F.coalesce(F.try_divide("weighted", "impressions"), F.lit(0.0)).alias("position"),
+        F.coalesce(F.try_divide("weighted_position", "impressions"), F.lit(0.0)).alias("position"),
     )
 
 
+def roll_up(facts: DataFrame, dimensions: Sequence[str]) -> DataFrame:
+    """Metrics per combination of dimensions."""
+    return as_metrics(sum_facts(facts, dimensions))
+
+
 def filter_pages(df: DataFrame, page_filter: str | None = None, exclude: Sequence[str] = ()) -> DataFrame:
     """Rows whose ``path`` matches the filter and none of the exclusions."""
     if page_filter:

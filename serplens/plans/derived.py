@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from serplens.functions import labels
 from serplens.operators import audit, extract, facts, ranking
 from serplens.params import Site
-from serplens.sources.storage import materialize
+from serplens.sources.storage import materialize, spread_small
 
 SITE = Site(
     site_url="https://www.example.com/",
@@ -47,12 +47,22 @@ JSON_LD = (
 )
 
 
+#: Columns used of the driver's tables.
+TABLES = {
+    "events": "ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "pages": "page_id bigint, html string",
+    "benchmark": "item_id bigint, text string",
+    "documents": "doc_id bigint, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def row_count(df: DataFrame) -> Column:
-    return df.agg(F.count(F.lit(1)).alias("n")).scalar()
+def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``pages`` table, ready for parsing."""
+    return spread_small(table(spark, sf_dir, "pages"))
 
 
 def path_by_id(page_id: Column) -> Column:
@@ -69,13 +79,14 @@ def host_by_id(page_id: Column) -> Column:
 def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One impression per event: day, query, page and its metrics."""
     events = table(spark, sf_dir, "events")
-    pages = table(spark, sf_dir, "pages")
     items = table(spark, sf_dir, "benchmark")
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    n_pages = table(spark, sf_dir, "pages").count()
+    n_items = items.count()
+    k = F.regexp_extract("props", r'"k": *(\d+)', 1).try_cast("bigint")
     log = events.select(
         F.to_date("ts").alias("run_date"),
-        ((F.col("user_id") * 7 + k) % row_count(pages)).alias("page_id"),
-        (k % row_count(items)).alias("item_id"),
+        ((F.col("user_id") * 7 + k) % n_pages).alias("page_id"),
+        (k % n_items).alias("item_id"),
         ((F.col("event_type") == "click") & (k % 5 == 0)).cast("bigint").alias("clicks"),
         F.col("value"),
     )
@@ -93,26 +104,36 @@ def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def query_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.roll_up(search_log(spark, sf_dir), ["query", "page"])
+class SearchFacts:
+    """Search facts of both grains from one pass over the log.
 
+    The log is summed by query and page and written; everything else reads that.
+    """
 
-def page_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.roll_up(search_log(spark, sf_dir), ["page"])
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        log = search_log(spark, sf_dir)
+        sums = materialize(facts.sum_facts(log, ["query", "page"]), "search_sums")
+        self.query_page = facts.as_metrics(sums)
+        self.page = facts.roll_up(sums, ["page"])
 
+    def zero_click(self) -> DataFrame:
+        """The zero-click table as later steps see it: written, then read back."""
+        return materialize(facts.zero_click_rows(self.query_page, SITE), "zero_click")
 
-def zero_click(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The zero-click table as later steps see it: written, then read back."""
-    return materialize(facts.zero_click_rows(query_page(spark, sf_dir), SITE), "zero_click")
+    def ranking(self) -> DataFrame:
+        return facts.ranking_rows(self.page, SITE)
 
+    def scored(self, zero: DataFrame) -> DataFrame:
+        merged = ranking.attach_queries(self.ranking(), ranking.path_queries(zero))
+        return ranking.score_pages(merged, SITE)
 
-def ranking_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.ranking_rows(page_facts(spark, sf_dir), SITE)
+    def ranked(self, zero: DataFrame) -> DataFrame:
+        return ranking.priority_ranking(self.ranking(), zero, SITE)
 
 
-def ranked(spark: SparkSession, sf_dir: str, zero: DataFrame | None = None) -> DataFrame:
-    zero = zero if zero is not None else zero_click(spark, sf_dir)
-    return ranking.priority_ranking(ranking_rows(spark, sf_dir), zero, SITE)
+def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    search = SearchFacts(spark, sf_dir)
+    return search.ranked(search.zero_click())
 
 
 def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +141,7 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A page that was not found at first and has an even id is there the second time.
     """
-    pages = table(spark, sf_dir, "pages")
+    pages = landed_pages(spark, sf_dir)
     page_id = F.col("page_id")
     gone, failed = page_id % 17 == 0, page_id % 19 == 0
     again = gone & (page_id % 2 == 0)
@@ -195,8 +216,9 @@ def page_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    zero = zero_click(spark, sf_dir)
-    pages = audit.with_context(page_meta(spark, sf_dir), zero, ranked(spark, sf_dir, zero))
+    search = SearchFacts(spark, sf_dir)
+    zero = search.zero_click()
+    pages = audit.with_context(page_meta(spark, sf_dir), zero, search.ranked(zero))
     return audit.audit_pages(pages, SITE)
 
 

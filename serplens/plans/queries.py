@@ -19,7 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 FILTERED_SITE = replace(d.SITE, page_filter="/COURSE/", exclude_patterns=("keyword/1", r"blog\."))
-RANGE, BATCH = (31, 60), 7
+RANGE, BATCH = (6, 15), 4
 TOP_PAGES = 25
 NEW_DATE = "2024-02-01"
 
@@ -84,7 +84,7 @@ def snapshot_latest(spark, sf_dir):
 def csv_roundtrip(spark, sf_dir):
     """The zero-click report as CSV under its published headers, read back."""
     path = scratch_path(spark, "zero_click_csv")
-    report = facts.zero_click_report(d.query_page(spark, sf_dir), d.SITE)
+    report = facts.zero_click_report(d.SearchFacts(spark, sf_dir).query_page, d.SITE)
     reports.write_csv(reports.with_report_headers(report), path)
     back = reports.read_csv(spark, path, reports.without_report_headers(schemas.ZERO_CLICK))
     return back.toDF(*schemas.ZERO_CLICK.names)
@@ -99,36 +99,40 @@ def json_roundtrip(spark, sf_dir):
     return _flat_meta(reports.read_rows(spark, path, schemas.PAGE_META))
 
 
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.roll_up(d.search_log(spark, sf_dir), ["page"])
+
+
 @query
 def page_labels(spark, sf_dir):
-    return facts.label_pages(d.page_facts(spark, sf_dir), d.SITE)
+    return facts.label_pages(_pages(spark, sf_dir), d.SITE)
 
 
 @query
 def page_filter(spark, sf_dir):
-    labelled = facts.label_pages(d.page_facts(spark, sf_dir), FILTERED_SITE)
+    labelled = facts.label_pages(_pages(spark, sf_dir), FILTERED_SITE)
     kept = facts.filter_pages(labelled, FILTERED_SITE.page_filter, FILTERED_SITE.exclude_patterns)
     return kept.select("path", "page", "impressions")
 
 
 @query
 def page_totals(spark, sf_dir):
-    return facts.page_totals(d.query_page(spark, sf_dir))
+    return facts.page_totals(facts.roll_up(d.search_log(spark, sf_dir), ["query", "page"]))
 
 
 @query
 def zero_click_report(spark, sf_dir):
-    return facts.zero_click_report(d.query_page(spark, sf_dir), d.SITE)
+    return facts.zero_click_report(d.SearchFacts(spark, sf_dir).query_page, d.SITE)
 
 
 @query
 def zero_click_filtered(spark, sf_dir):
-    return facts.zero_click_report(d.query_page(spark, sf_dir), FILTERED_SITE)
+    return facts.zero_click_report(d.SearchFacts(spark, sf_dir).query_page, FILTERED_SITE)
 
 
 @query
 def page_segments(spark, sf_dir):
-    return facts.ranking_report(d.page_facts(spark, sf_dir), d.SITE)
+    return facts.ranking_report(d.SearchFacts(spark, sf_dir).page, d.SITE)
 
 
 @query
@@ -137,12 +141,12 @@ def fetch_summary(spark, sf_dir):
     def rows(df: DataFrame) -> Column:
         return df.agg(F.count(F.lit(1)).alias("n")).scalar()
 
-    query_page = d.query_page(spark, sf_dir)
-    return d.page_facts(spark, sf_dir).agg(F.count(F.lit(1)).alias("page_rows")).select(
-        rows(query_page).alias("query_page_rows"),
+    search = d.SearchFacts(spark, sf_dir)
+    return search.page.agg(F.count(F.lit(1)).alias("page_rows")).select(
+        rows(search.query_page).alias("query_page_rows"),
         "page_rows",
-        rows(facts.zero_click_rows(query_page, d.SITE)).alias("zero_click_rows"),
-        rows(d.ranking_rows(spark, sf_dir)).alias("ranking_rows"),
+        rows(facts.zero_click_rows(search.query_page, d.SITE)).alias("zero_click_rows"),
+        rows(search.ranking()).alias("ranking_rows"),
         F.lit(d.SITE.filter_tag).alias("filter_tag"),
     )
 
@@ -151,9 +155,8 @@ def fetch_summary(spark, sf_dir):
 
 @query
 def path_queries(spark, sf_dir):
-    merged = ranking.attach_queries(
-        d.ranking_rows(spark, sf_dir), ranking.path_queries(d.zero_click(spark, sf_dir))
-    )
+    search = d.SearchFacts(spark, sf_dir)
+    merged = ranking.attach_queries(search.ranking(), ranking.path_queries(search.zero_click()))
     return merged.select("path", "query_count", F.posexplode_outer("top_queries").alias("nth", "q")) \
         .select("path", "query_count", (F.col("nth") + 1).cast("long").alias("nth"),
                 "q.query", "q.impressions", "q.position")
@@ -177,9 +180,8 @@ def top_pages(spark, sf_dir):
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    zero = d.zero_click(spark, sf_dir)
-    merged = ranking.attach_queries(d.ranking_rows(spark, sf_dir), ranking.path_queries(zero))
-    return ranking.score_pages(merged, d.SITE)
+    search = d.SearchFacts(spark, sf_dir)
+    return search.scored(search.zero_click())
 
 
 @query
@@ -194,7 +196,8 @@ def ranking_by_language(spark, sf_dir):
 
 @query
 def ranking_summary(spark, sf_dir):
-    return ranking.ranking_summary(d.ranking_rows(spark, sf_dir), _scored(spark, sf_dir))
+    search = d.SearchFacts(spark, sf_dir)
+    return ranking.ranking_summary(search.ranking(), search.scored(search.zero_click()))
 
 
 # --- extraction --------------------------------------------------------------
@@ -202,7 +205,7 @@ def ranking_summary(spark, sf_dir):
 @query
 def page_metadata(spark, sf_dir):
     """Title and headings of every landed page as it is."""
-    pages = d.table(spark, sf_dir, "pages").select(
+    pages = d.landed_pages(spark, sf_dir).select(
         "page_id", "html", F.lit(200).alias("status"), F.lit(None).cast("string").alias("error"),
     )
     return extract.extract_metadata(pages).select("page_id", "title", _joined(F.col("h1")).alias("h1"))
@@ -268,7 +271,7 @@ def audit_language(spark, sf_dir):
 
 @query
 def audit_keyword_coverage(spark, sf_dir):
-    queries = audit.coverage_queries(facts.zero_click_rows(d.query_page(spark, sf_dir), d.SITE))
+    queries = audit.coverage_queries(facts.zero_click_rows(d.SearchFacts(spark, sf_dir).query_page, d.SITE))
     pages = d.page_meta(spark, sf_dir).join(queries, "path", "left")
     missing = audit.rule_columns(d.SITE)["missing_keywords"]
     return pages.select("path", _joined(missing).alias("missing_keywords"))
@@ -287,7 +290,7 @@ def audit_report(spark, sf_dir):
 
 def _audited_unranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit outcome where the rank is of no interest."""
-    queries = audit.coverage_queries(facts.zero_click_rows(d.query_page(spark, sf_dir), d.SITE))
+    queries = audit.coverage_queries(facts.zero_click_rows(d.SearchFacts(spark, sf_dir).query_page, d.SITE))
     pages = d.page_meta(spark, sf_dir).join(queries, "path", "left")
     return audit.audit_pages(pages, d.SITE)
 
@@ -308,8 +311,9 @@ class _Rewrite:
     """Inputs of the update queries; the ones read repeatedly are written once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.zero = d.zero_click(spark, sf_dir)
-        self.targets = d.ranked(spark, sf_dir, self.zero).withColumn(
+        search = d.SearchFacts(spark, sf_dir)
+        self.zero = search.zero_click()
+        self.targets = search.ranked(self.zero).withColumn(
             "batch_id", F.floor((F.col("priority_rank") - 1) / params.REWRITE_BATCH_SIZE).cast("long")
         )
         meta = d.page_meta(spark, sf_dir).where(F.col("error").isNull())

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from serplens.operators.page_reader import NAMED_META, OG_META, TWITTER_META
+
 METRIC_FIELDS = [
     T.StructField("clicks", T.LongType()),
     T.StructField("impressions", T.LongType()),
@@ -55,23 +57,6 @@ PRIORITY_RANKED = T.StructType([
     T.StructField("query_count", T.LongType()),
 ])
 
-#: (column, attribute value) of the metadata tags, by identifying attribute.
-NAMED_META = (
-    ("meta_description", "description"),
-    ("meta_keywords", "keywords"),
-    ("meta_robots", "robots"),
-    ("meta_author", "author"),
-)
-OG_META = tuple(
-    (name.replace(":", "_"), name)
-    for name in ("og:title", "og:description", "og:url", "og:type", "og:image",
-                 "og:site_name", "og:image:width", "og:image:height")
-)
-TWITTER_META = tuple(
-    (name.replace(":", "_"), name)
-    for name in ("twitter:card", "twitter:title", "twitter:description",
-                 "twitter:image", "twitter:site")
-)
 META_STRINGS = (
     "title",
     *(c for c, _ in NAMED_META),

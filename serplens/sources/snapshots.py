@@ -8,6 +8,7 @@ with one row per run instead of a listing of file names.
 from __future__ import annotations
 
 from datetime import date
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -75,4 +76,4 @@ def common_run(spark: SparkSession, base: str, tables: list[str], tag: str) -> d
 
 
 def _partition(base: str, table: str, tag: str, run_date: date) -> str:
-    return f"{base}/{table}/filter_tag={tag}/run_date={run_date.isoformat()}"
+    return f"{base}/{table}/filter_tag={quote(tag, safe='')}/run_date={run_date.isoformat()}"

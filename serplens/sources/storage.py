@@ -48,3 +48,16 @@ def checkpoint(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def spread_small(scan: DataFrame) -> DataFrame:
+    """Give every core a share of a scan that is too small to be split that far.
+
+    For work that is costly per row. At most one split's worth of data per core
+    is shuffled; a larger scan stays where it is read.
+    """
+    spark = scan.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return scan.repartition(cores) if size < cores * split else scan
