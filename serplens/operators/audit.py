@@ -29,21 +29,22 @@ def with_context(pages: DataFrame, zero_click: DataFrame, ranked: DataFrame) ->
     )
 
 
-def rule_columns(site: Site) -> dict[str, Column]:
-    """Outcome of every rule for a page with ``queries``."""
+def rule_columns(site: Site, *names: str) -> dict[str, Column]:
+    """Outcome of the named rules, or of all, for a page with ``queries``."""
     path, title, desc = F.col("path"), F.col("title"), F.col("meta_description")
-    return {
-        "title_length": text.n_chars(title),
-        "title_too_long": text.too_long(title, site.max_title_length),
-        "desc_length": text.n_chars(desc),
-        "desc_too_long": text.too_long(desc, site.max_description_length),
-        "generic_opener": text.generic_opener(desc, site.generic_openers),
-        "language_mismatch": text.language_mismatch(path, title, desc),
-        "missing_keywords": text.uncovered_queries(
+    rules = {
+        "title_length": lambda: text.n_chars(title),
+        "title_too_long": lambda: text.too_long(title, site.max_title_length),
+        "desc_length": lambda: text.n_chars(desc),
+        "desc_too_long": lambda: text.too_long(desc, site.max_description_length),
+        "generic_opener": lambda: text.generic_opener(desc, site.generic_openers),
+        "language_mismatch": lambda: text.language_mismatch(path, title, desc),
+        "missing_keywords": lambda: text.uncovered_queries(
             title, desc, F.col("meta_keywords"), F.col("queries")
         ),
-        "schema_issues": jsonld.completeness_issues(path, F.col("schema_json_ld")),
+        "schema_issues": lambda: jsonld.completeness_issues(path, F.col("schema_json_ld")),
     }
+    return {name: rules[name]() for name in names or rules}
 
 
 def _flag(condition: Column, label: str) -> Column:

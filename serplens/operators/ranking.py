@@ -40,18 +40,22 @@ def path_queries(zero_click: DataFrame, n: int = params.NESTED_TOP_N) -> DataFra
     return query_counts(zero_click).join(nested_queries(zero_click, n), "path")
 
 
+def attach_counts(ranking: DataFrame, counts: DataFrame) -> DataFrame:
+    """Ranking rows with their number of queries, 0 for pages without any."""
+    return ranking.join(counts, "path", "left") \
+        .withColumn("query_count", F.coalesce("query_count", F.lit(0)).cast("long"))
+
+
 def attach_queries(ranking: DataFrame, queries: DataFrame) -> DataFrame:
-    """Ranking rows with their queries; pages without any get an empty list."""
-    return ranking.join(queries, "path", "left").withColumns({
-        "top_queries": F.coalesce("top_queries", F.array().cast(f"array<{_QUERY}>")),
-        "query_count": F.coalesce("query_count", F.lit(0)).cast("long"),
-    })
+    """Ranking rows with counts and top queries; pages without any get an empty list."""
+    return attach_counts(ranking, queries) \
+        .withColumn("top_queries", F.coalesce("top_queries", F.array().cast(f"array<{_QUERY}>")))
 
 
-def score_pages(merged: DataFrame, site: Site) -> DataFrame:
+def score_pages(counted: DataFrame, site: Site) -> DataFrame:
     """Actionable pages with content type, language and opportunity score."""
     return (
-        merged
+        counted
         .withColumns({
             "seo_page_type": labels.content_type(F.col("path"), site.content_segments),
             "language": labels.language_of(F.col("path")),
@@ -101,8 +105,11 @@ def with_global_rank(df: DataFrame, order: Sequence[Column], rank: str = "priori
 
 
 def priority_ranking(ranking: DataFrame, zero_click: DataFrame, site: Site) -> DataFrame:
-    """Actionable pages with an explicit ``priority_rank``, unordered."""
-    scored = score_pages(attach_queries(ranking, path_queries(zero_click)), site)
+    """Actionable pages with an explicit ``priority_rank``, unordered.
+
+    Only the number of queries matters here, so their lists are not built.
+    """
+    scored = score_pages(attach_counts(ranking, query_counts(zero_click)), site)
     ranked = with_global_rank(scored.select(*RANKED_COLUMNS), _score_order())
     return ranked.select("priority_rank", *RANKED_COLUMNS)
 

@@ -9,10 +9,9 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from serplens.functions import labels
 from serplens.operators import audit, extract, facts, ranking
 from serplens.params import Site
 from serplens.sources.storage import materialize, spread_small
@@ -65,42 +64,35 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread_small(table(spark, sf_dir, "pages"))
 
 
-def path_by_id(page_id: Column) -> Column:
-    prefix = F.get(F.array(*map(F.lit, PREFIXES)), (page_id % len(PREFIXES)).cast("int"))
-    special = F.create_map(*(F.lit(v) for kv in SPECIAL_PATHS.items() for v in kv))
-    return F.coalesce(special[page_id.cast("int")],
-                      F.concat(prefix, page_id))
+_PREFIX = "element_at(array(" + ", ".join(f"'{p}'" for p in PREFIXES) + f"), int(page_id % {len(PREFIXES)}) + 1)"
+_SPECIAL = " ".join(f"WHEN {i} THEN '{path}'" for i, path in SPECIAL_PATHS.items())
 
-
-def host_by_id(page_id: Column) -> Column:
-    return F.when(page_id % 13 == 0, F.lit(OTHER_ORIGIN)).otherwise(F.lit(SITE.origin))
+#: SQL over ``page_id``.
+PATH = f"CASE page_id {_SPECIAL} ELSE {_PREFIX} || page_id END"
+PAGE = f"CASE WHEN page_id % 13 = 0 THEN '{OTHER_ORIGIN}' ELSE '{SITE.origin}' END || {PATH}"
 
 
 def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One impression per event: day, query, page and its metrics."""
-    events = table(spark, sf_dir, "events")
     items = table(spark, sf_dir, "benchmark")
     n_pages = table(spark, sf_dir, "pages").count()
     n_items = items.count()
-    k = F.regexp_extract("props", r'"k": *(\d+)', 1).try_cast("bigint")
-    log = events.select(
-        F.to_date("ts").alias("run_date"),
-        ((F.col("user_id") * 7 + k) % n_pages).alias("page_id"),
-        (k % n_items).alias("item_id"),
-        ((F.col("event_type") == "click") & (k % 5 == 0)).cast("bigint").alias("clicks"),
-        F.col("value"),
+    log = table(spark, sf_dir, "events").selectExpr(
+        "date(ts) AS run_date", "user_id", "event_type", "value",
+        """try_cast(regexp_extract(props, '"k": *([0-9]+)', 1) AS bigint) AS k""",
+    ).selectExpr(
+        "run_date", "value",
+        f"(user_id * 7 + k) % {n_pages} AS page_id",
+        f"k % {n_items} AS item_id",
+        "bigint(event_type = 'click' AND k % 5 = 0) AS clicks",
+    )
+    queries = items.selectExpr(
+        "item_id", "lower(split_part(text, ' ', 1) || ' ' || split_part(text, ' ', 2)) AS query"
     )
-    queries = items.select("item_id", F.lower(F.concat_ws(
-        " ", F.split_part("text", F.lit(" "), F.lit(1)), F.split_part("text", F.lit(" "), F.lit(2)),
-    )).alias("query"))
-    page_id = F.col("page_id")
-    return log.join(queries, "item_id").select(
-        "run_date", "page_id", "query",
-        F.concat(host_by_id(page_id), path_by_id(page_id)).alias("page"),
-        "clicks",
-        F.lit(1).cast("bigint").alias("impressions"),
-        F.col("clicks").cast("double").alias("ctr"),
-        ((page_id % 30) * 2 + F.floor("value") % 4).cast("double").alias("position"),
+    return log.join(queries, "item_id").selectExpr(
+        "run_date", "page_id", "query", f"{PAGE} AS page", "clicks",
+        "bigint(1) AS impressions", "double(clicks) AS ctr",
+        "double((page_id % 30) * 2 + floor(value) % 4) AS position",
     )
 
 
@@ -124,13 +116,17 @@ class SearchFacts:
         return facts.ranking_rows(self.page, SITE)
 
     def scored(self, zero: DataFrame) -> DataFrame:
-        merged = ranking.attach_queries(self.ranking(), ranking.path_queries(zero))
-        return ranking.score_pages(merged, SITE)
+        counted = ranking.attach_counts(self.ranking(), ranking.query_counts(zero))
+        return ranking.score_pages(counted, SITE)
 
     def ranked(self, zero: DataFrame) -> DataFrame:
         return ranking.priority_ranking(self.ranking(), zero, SITE)
 
 
+def ranked(self, zero: DataFrame) -> DataFrame:
+        return ranking.priority_ranking(self.ranking(), zero, SITE)
+
+
 def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     search = SearchFacts(spark, sf_dir)
     return search.ranked(search.zero_click())
@@ -141,104 +137,96 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A page that was not found at first and has an even id is there the second time.
     """
-    pages = landed_pages(spark, sf_dir)
-    page_id = F.col("page_id")
-    gone, failed = page_id % 17 == 0, page_id % 19 == 0
-    again = gone & (page_id % 2 == 0)
-    attempts = F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = pages.select("page_id", "html", F.explode(attempts).alias("attempt"))
-    status = (
-        F.when(F.col("attempt") == 1, 200).when(gone, 404).when(failed, 0).otherwise(200)
-    )
-    return rows.select(
-        "page_id",
-        path_by_id(page_id).alias("path"),
-        status.alias("status"),
-        "html",
-        ((page_id % 100) / 8 + F.col("attempt")).alias("elapsed_s"),
-        F.when(status == 0, F.concat(F.lit("timeout on "), page_id)).alias("error"),
-        F.timestamp_seconds(F.lit(1704067200) + page_id * 60 + F.col("attempt") * 3600).alias("fetched_at"),
+    return landed_pages(spark, sf_dir).selectExpr(
+        "page_id", "html",
+        "explode(CASE WHEN page_id % 34 = 0 THEN array(0, 1) ELSE array(0) END) AS attempt",
+    ).selectExpr(
+        "*",
+        """CASE WHEN attempt = 1 THEN 200 WHEN page_id % 17 = 0 THEN 404
+           WHEN page_id % 19 = 0 THEN 0 ELSE 200 END AS status""",
+    ).selectExpr(
+        "page_id", f"{PATH} AS path", "status", "html",
+        "(page_id % 100) / 8 + attempt AS elapsed_s",
+        "CASE WHEN status = 0 THEN 'timeout on ' || page_id END AS error",
+        "timestamp_seconds(1704067200 + page_id * 60 + attempt * 3600) AS fetched_at",
     )
 
 
-def _attribute(value: Column) -> Column:
-    """Text as an HTML attribute value."""
-    for char, entity in (("&", "&amp;"), ('"', "&quot;"), ("<", "&lt;")):
-        value = F.replace(value, F.lit(char), F.lit(entity))
-    return value
-
+def _tag(before: str, value: str, after: str) -> str:
+    """SQL of a tag around a text that is escaped as an HTML attribute."""
+    escaped = f"replace(replace(replace({value}, '&', '&amp;'), '\"', '&quot;'), '<', '&lt;')"
+    return f"'{before}' || {escaped} || '{after}'"
+
+
+_DESCRIPTION = """CASE WHEN page_id % 7 = 0 THEN 'Explore ' ELSE '' END
+  || substr(text, 1, int(40 + (page_id * 13) % 240))"""
+_URL = f"'{SITE.base_url}' || path"
+_BLOCK = "element_at(array(" + ", ".join(
+    "NULL" if b is None else f"'{b}'" for b in JSON_LD) + f"), int(page_id % {len(JSON_LD)}) + 1)"
+
+#: SQL of the tags written into a page's head; NULL leaves a tag out.
+TAGS = (
+    _tag('<meta name="description" content="', _DESCRIPTION, '">'),
+    "'<meta name=\"description\" content=\"never read\">'",
+    _tag('<meta name="keywords" content="', "keywords", '"/>'),
+    "CASE WHEN page_id % 3 = 0 THEN "
+    + _tag('<meta property="og:title" content="', "('OG \"page\" & ' || page_id)", '">') + " END",
+    f"""CASE WHEN page_id % 4 = 0 THEN '<link href="' || {_URL} || '" rel="canonical nofollow">' END""",
+    f"""CASE WHEN page_id % 5 = 0 THEN '<link rel=alternate hreflang=en href="' || {_URL} || '">' END""",
+    """CASE WHEN page_id % 5 = 0 THEN '<link rel="alternate" hreflang="de">' END""",
+    """CASE WHEN page_id % 9 = 0 THEN '<meta name="twitter:card" content="summary">' END""",
+    """CASE WHEN page_id % 9 = 1 THEN '<meta name="Twitter:Card" content="wrong case">' END""",
+    f"""'<script type="application/ld+json">' || {_BLOCK} || '</script>'""",
+)
 
-def _tag(template: str, value: Column) -> Column:
-    before, after = template.split("%")
-    return F.concat(F.lit(before), _attribute(value), F.lit(after))
 
+def tagged_pages(spark: SparkSession, sf_dir: str, query_page: DataFrame | None = None) -> DataFrame:
+    """The fetch log with metadata tags written into every page's head.
 
-def tagged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fetch log with metadata tags written into every page's head."""
-    docs = table(spark, sf_dir, "documents")
-    doc_text = docs.select(F.col("doc_id").alias("page_id"), F.substring("text", 1, 280).alias("text"))
-    first_query = search_log(spark, sf_dir).groupBy("page_id").agg(F.min("query").alias("keywords"))
-    page_id = F.col("page_id")
-    description = F.concat(
-        F.when(page_id % 7 == 0, F.lit("Explore ")).otherwise(F.lit("")),
-        F.substring(F.col("text"), F.lit(1), (40 + (page_id * 13) % 240).cast("int")),
-    )
-    block = F.get(F.array(*map(F.lit, JSON_LD)), (page_id % len(JSON_LD)).cast("int"))
-    script = F.concat(F.lit('<script type="application/ld+json">'), block, F.lit("</script>"))
-    url = F.concat(F.lit(SITE.base_url), F.col("path"))
-    tags = [
-        _tag('<meta name="description" content="%">', description),
-        _tag('<meta name="description" content="%">', F.lit("never read")),
-        _tag('<meta name="keywords" content="%"/>', F.col("keywords")),
-        F.when(page_id % 3 == 0, _tag('<meta property="og:title" content="%">',
-                                      F.concat(F.lit('OG "page" & '), page_id))),
-        F.when(page_id % 4 == 0, _tag("<link href='%' rel=\"canonical nofollow\">", url)),
-        F.when(page_id % 5 == 0, _tag('<link rel=alternate hreflang=en href="%">', url)),
-        F.when(page_id % 5 == 0, F.lit('<link rel="alternate" hreflang="de">')),
-        F.when(page_id % 9 == 0, F.lit('<meta name="twitter:card" content="summary">')),
-        F.when(page_id % 9 == 1, F.lit('<meta name="Twitter:Card" content="wrong case">')),
-        script,
-    ]
-    parts = F.split("html", "</title>", 2)
-    head = F.when(page_id % 5 == 0, F.replace(parts[0], F.lit("<title>"), F.lit("<title>中文标题 "))) \
-        .otherwise(parts[0])
-    log = fetch_log(spark, sf_dir)
-    return (
-        log.join(doc_text, "page_id", "left").join(first_query, "page_id", "left")
-        .withColumn("html", F.concat(head, F.lit("</title>"), F.concat_ws("", *tags), parts[1]))
-        .drop("text", "keywords")
+    A page's keywords are its alphabetically first query, from ``query_page``
+    where the caller has it already.
+    """
+    searched = search_log(spark, sf_dir) if query_page is None else query_page
+    keywords = searched.groupBy("page").agg(F.min("query").alias("keywords"))
+    doc_text = table(spark, sf_dir, "documents").selectExpr("doc_id AS page_id", "substr(text, 1, 280) AS text")
+    ids = table(spark, sf_dir, "pages").select("page_id")
+    # Everything the tags need is narrow and comes together before it meets the HTML.
+    values = ids.withColumn("page", F.expr(PAGE)).join(keywords, "page", "left") \
+        .join(doc_text, "page_id", "left").select("page_id", "keywords", "text")
+    return fetch_log(spark, sf_dir).join(values, "page_id").selectExpr(
+        "page_id", "path", "status", "elapsed_s", "error", "fetched_at",
+        "split(html, '</title>', 2) AS parts",
+        f"concat_ws('', {', '.join(TAGS)}) AS tags",
+    ).selectExpr(
+        "* EXCEPT (parts, tags)",
+        """CASE WHEN page_id % 5 = 0 THEN replace(parts[0], '<title>', '<title>中文标题 ') ELSE parts[0] END
+           || '</title>' || tags || parts[1] AS html""",
     )
 
 
-def page_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+def page_meta(spark: SparkSession, sf_dir: str, query_page: DataFrame | None = None) -> DataFrame:
     """Extracted metadata, one row per path."""
-    return extract.latest_per_path(extract.extract_metadata(tagged_pages(spark, sf_dir)))
+    return extract.latest_per_path(extract.extract_metadata(tagged_pages(spark, sf_dir, query_page)))
 
 
 def audited(spark: SparkSession, sf_dir: str) -> DataFrame:
     search = SearchFacts(spark, sf_dir)
     zero = search.zero_click()
-    pages = audit.with_context(page_meta(spark, sf_dir), zero, search.ranked(zero))
-    return audit.audit_pages(pages, SITE)
+    pages = page_meta(spark, sf_dir, search.query_page)
+    return audit.audit_pages(audit.with_context(pages, zero, search.ranked(zero)), SITE)
 
 
 def rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rewritten texts per page, derived from ``documents``."""
-    docs = table(spark, sf_dir, "documents")
     ids = table(spark, sf_dir, "pages").select("page_id")
-    page_id = F.col("page_id")
-    offset = (page_id % 23 + 1).cast("int")
-    return ids.join(docs.select(F.col("doc_id").alias("page_id"), "text"), "page_id").select(
-        path_by_id(page_id).alias("path"),
-        F.concat(
-            F.when(page_id % 2 == 1, F.lit("学科标题，")).otherwise(F.lit("")),
-            F.substring(F.col("text"), offset, (15 + page_id % 50).cast("int")),
-        ).alias("title"),
-        F.concat(
-            F.when(page_id % 3 == 1, F.lit("说明文字。")).otherwise(F.lit("")),
-            F.substring(F.col("text"), offset, (60 + (page_id * 7) % 200).cast("int")),
-        ).alias("description"),
-        F.when(page_id % 4 != 0, F.concat(F.lit("term "), page_id)).alias("keywords"),
-        F.concat(F.lit("Term "), page_id).alias("term_name"),
-        F.concat(F.lit("Subject "), page_id % 5).alias("subject"),
+    docs = table(spark, sf_dir, "documents").selectExpr("doc_id AS page_id", "text")
+    return ids.join(docs, "page_id").selectExpr(
+        f"{PATH} AS path",
+        """CASE WHEN page_id % 2 = 1 THEN '学科标题，' ELSE '' END
+           || substr(text, int(page_id % 23) + 1, int(15 + page_id % 50)) AS title""",
+        """CASE WHEN page_id % 3 = 1 THEN '说明文字。' ELSE '' END
+           || substr(text, int(page_id % 23) + 1, int(60 + (page_id * 7) % 200)) AS description""",
+        "CASE WHEN page_id % 4 <> 0 THEN 'term ' || page_id END AS keywords",
+        "'Term ' || page_id AS term_name",
+        "'Subject ' || (page_id % 5) AS subject",
     )

@@ -13,7 +13,7 @@ from serplens.functions import jsonld
 from serplens.operators import audit, crawl, extract, facts, ranking, update
 from serplens.plans import derived as d
 from serplens.sources import landing, reports, snapshots
-from serplens.sources.storage import materialize, scratch_path
+from serplens.sources.storage import discard_at_exit, materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -60,6 +60,7 @@ def response_flatten(spark, sf_dir):
         .when(kind == 3, F.array(bare, short, whole))
     path = scratch_path(spark, "responses")
     log.select(rows.alias("rows")).write.json(path)
+    discard_at_exit(spark, path)
     return landing.flatten_responses(landing.read_responses(spark, path), ["query", "page"])
 
 
@@ -74,6 +75,7 @@ def snapshot_latest(spark, sf_dir):
     path = scratch_path(spark, "snapshots")
     log.hint("rebalance", "filter_tag", "run_date") \
         .write.partitionBy("filter_tag", "run_date").parquet(path)
+    discard_at_exit(spark, path)
     latest = snapshots.latest_snapshot(
         spark.read.schema(log.schema).parquet(path), params.filter_tag("/blog/posts/")
     )
@@ -86,6 +88,7 @@ def csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "zero_click_csv")
     report = facts.zero_click_report(d.SearchFacts(spark, sf_dir).query_page, d.SITE)
     reports.write_csv(reports.with_report_headers(report), path)
+    discard_at_exit(spark, path)
     back = reports.read_csv(spark, path, reports.without_report_headers(schemas.ZERO_CLICK))
     return back.toDF(*schemas.ZERO_CLICK.names)
 
@@ -96,6 +99,7 @@ def json_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "page_meta_json")
     meta = d.page_meta(spark, sf_dir).select(*schemas.PAGE_META.names)
     reports.write_rows(meta, path)
+    discard_at_exit(spark, path)
     return _flat_meta(reports.read_rows(spark, path, schemas.PAGE_META))
 
 
@@ -230,7 +234,9 @@ def page_metadata_full(spark, sf_dir):
 
 @query
 def crawl_report(spark, sf_dir):
-    return crawl.crawl_report(d.page_meta(spark, sf_dir), d.ranked(spark, sf_dir), d.SITE.base_url)
+    search = d.SearchFacts(spark, sf_dir)
+    pages = d.page_meta(spark, sf_dir, search.query_page)
+    return crawl.crawl_report(pages, search.ranked(search.zero_click()), d.SITE.base_url)
 
 
 @query
@@ -240,8 +246,9 @@ def metadata_coverage(spark, sf_dir):
 
 @query
 def missing_samples(spark, sf_dir):
-    meta = d.page_meta(spark, sf_dir).select("path", "title", "meta_description")
-    ranked = d.ranked(spark, sf_dir).select("path", "priority_rank")
+    search = d.SearchFacts(spark, sf_dir)
+    meta = d.page_meta(spark, sf_dir, search.query_page).select("path", "title", "meta_description")
+    ranked = search.ranked(search.zero_click()).select("path", "priority_rank")
     pages = materialize(meta.join(ranked, "path", "left"), "ranked_meta")
     return crawl.missing_samples(pages)
 
@@ -250,8 +257,15 @@ def missing_samples(spark, sf_dir):
 
 def _ruled(spark: SparkSession, sf_dir: str, *rules: str) -> DataFrame:
     """Pages with the named rules only."""
-    columns = audit.rule_columns(d.SITE)
-    return d.page_meta(spark, sf_dir).select("path", *(columns[r].alias(r) for r in rules))
+    columns = audit.rule_columns(d.SITE, *rules)
+    return d.page_meta(spark, sf_dir).select("path", *(c.alias(name) for name, c in columns.items()))
+
+
+def _with_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with their top queries."""
+    search = d.SearchFacts(spark, sf_dir)
+    queries = audit.coverage_queries(facts.zero_click_rows(search.query_page, d.SITE))
+    return d.page_meta(spark, sf_dir, search.query_page).join(queries, "path", "left")
 
 
 @query
@@ -271,9 +285,8 @@ def audit_language(spark, sf_dir):
 
 @query
 def audit_keyword_coverage(spark, sf_dir):
-    queries = audit.coverage_queries(facts.zero_click_rows(d.SearchFacts(spark, sf_dir).query_page, d.SITE))
-    pages = d.page_meta(spark, sf_dir).join(queries, "path", "left")
-    missing = audit.rule_columns(d.SITE)["missing_keywords"]
+    pages = _with_queries(spark, sf_dir)
+    missing = audit.rule_columns(d.SITE, "missing_keywords")["missing_keywords"]
     return pages.select("path", _joined(missing).alias("missing_keywords"))
 
 
@@ -290,9 +303,7 @@ def audit_report(spark, sf_dir):
 
 def _audited_unranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit outcome where the rank is of no interest."""
-    queries = audit.coverage_queries(facts.zero_click_rows(d.SearchFacts(spark, sf_dir).query_page, d.SITE))
-    pages = d.page_meta(spark, sf_dir).join(queries, "path", "left")
-    return audit.audit_pages(pages, d.SITE)
+    return audit.audit_pages(_with_queries(spark, sf_dir), d.SITE)
 
 
 @query
@@ -316,7 +327,7 @@ class _Rewrite:
         self.targets = search.ranked(self.zero).withColumn(
             "batch_id", F.floor((F.col("priority_rank") - 1) / params.REWRITE_BATCH_SIZE).cast("long")
         )
-        meta = d.page_meta(spark, sf_dir).where(F.col("error").isNull())
+        meta = d.page_meta(spark, sf_dir, search.query_page).where(F.col("error").isNull())
         self.pages = materialize(meta.select(*schemas.PAGE_META.names), "page_meta")
         self.rewritten = d.rewritten(spark, sf_dir)
 

@@ -30,6 +30,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/serplens/{uuid.uuid4().hex}/{name}"
 
 
+def discard_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system remove a scratch table when the application ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
@@ -38,6 +44,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    discard_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
