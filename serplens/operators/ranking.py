@@ -99,7 +99,7 @@ def with_global_rank(df: DataFrame, order: Sequence[Column], rank: str = "priori
     for i in range(max(sizes, default=-1) + 1):
         starts.append(total)
         total += sizes.get(i, 0)
-    first = F.get(F.lit(starts or [0]).cast("array<bigint>"), part)
+    first = F.get(F.expr(f"array({', '.join(f'{n}L' for n in starts or [0])})"), part)
     within = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     return placed.withColumn(rank, first + within + 1).drop("_place")
 

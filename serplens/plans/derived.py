@@ -8,6 +8,7 @@ integer arithmetic or plain text, so that SQL gives the same rows.
 from __future__ import annotations
 
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,9 +105,13 @@ class SearchFacts:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         log = search_log(spark, sf_dir)
-        sums = materialize(facts.sum_facts(log, ["query", "page"]), "search_sums")
-        self.query_page = facts.as_metrics(sums)
-        self.page = facts.roll_up(sums, ["page"])
+        self._sums = materialize(facts.sum_facts(log, ["query", "page"]), "search_sums")
+        self.query_page = facts.as_metrics(self._sums)
+
+    @cached_property
+    def page(self) -> DataFrame:
+        """Page grain; written too, for the median and the ranking both read it."""
+        return materialize(facts.roll_up(self._sums, ["page"]), "search_pages")
 
     def zero_click(self) -> DataFrame:
         """The zero-click table as later steps see it: written, then read back."""

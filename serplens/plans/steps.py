@@ -99,6 +99,9 @@ def audit_metadata(spark: SparkSession, site: Site, base: str) -> dict:
     snapshots.write_snapshot(
         audit.audit_report(audited), base, "audit_report", site.filter_tag, run_date
     )
+    tag = site.filter_tag
+    snapshots.write_snapshot(audit.audit_summary(audited), base, "audit_summary", tag, run_date)
+    snapshots.write_snapshot(audit.issue_breakdown(audited), base, "issue_breakdown", tag, run_date)
     summary = audit.audit_summary(audited).first().asDict()
     # One row per kind of issue.
     summary["issue_breakdown"] = {
@@ -117,6 +120,11 @@ def prepare_rewrite(spark: SparkSession, site: Site, base: str, selection: str |
     return context, update.skipped_targets(targets, usable)
 
 
+def write_batches(context: DataFrame, path: str) -> None:
+    """Contexts as JSON rows, one folder per batch for the rewriters to share out."""
+    context.hint("rebalance", "batch_id").write.mode("overwrite").partitionBy("batch_id").json(path)
+
+
 def finish_rewrite(site: Site, base: str, rewritten: DataFrame, selection: str | int = 30) -> dict:
     """Post-process rewritten texts and merge them into the optimised metadata."""
     spark = rewritten.sparkSession

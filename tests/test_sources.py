@@ -103,11 +103,17 @@ def test_steps_end_to_end(spark, tiny, tmp_path):
     audited = steps.audit_metadata(spark, site, base)
     assert audited["total_pages"] == audited["pages_with_issues"] + audited["pages_clean"]
     assert sum(audited["issue_breakdown"].values()) >= audited["pages_with_issues"]
+    assert snapshots.latest_run(spark, base, "audit_summary", "all") == derived.RUN_DATE
 
     context, skipped = steps.prepare_rewrite(spark, site, base, "1-1000")
     assert context.count() + skipped.count() == ranked["rows"]
     assert skipped.count() == crawled["errors"]
 
+    steps.write_batches(context, base + "/batches")
+    batches = spark.read.json(base + "/batches")
+    assert batches.count() == context.count()
+    assert batches.groupBy("batch_id").count().agg(F.max("count")).first()[0] <= 10
+
     rewritten = derived.rewritten(spark, tiny)
     first = steps.finish_rewrite(site, base, rewritten, "1-2")
     second = steps.finish_rewrite(site, base, rewritten, "2-4")
