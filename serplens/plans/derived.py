@@ -114,8 +114,12 @@ class SearchFacts:
         return materialize(facts.roll_up(self._sums, ["page"]), "search_pages")
 
     def zero_click(self) -> DataFrame:
-        """The zero-click table as later steps see it: written, then read back."""
-        return materialize(facts.zero_click_rows(self.query_page, SITE), "zero_click")
+        """Zero-click rows for a single reader."""
+        return facts.zero_click_rows(self.query_page, SITE).drop("page")
+
+    def landed_zero_click(self) -> DataFrame:
+        """The zero-click table as later steps see it: written once, read by several."""
+        return materialize(self.zero_click(), "zero_click")
 
     def ranking(self) -> DataFrame:
         return facts.ranking_rows(self.page, SITE)
@@ -198,7 +202,8 @@ def tagged_pages(spark: SparkSession, sf_dir: str, query_page: DataFrame | None
     # Everything the tags need is narrow and comes together before it meets the HTML.
     values = ids.withColumn("page", F.expr(PAGE)).join(keywords, "page", "left") \
         .join(doc_text, "page_id", "left").select("page_id", "keywords", "text")
-    return fetch_log(spark, sf_dir).join(values, "page_id").selectExpr(
+    # A left join: HTML is then never the side that is broadcast.
+    return fetch_log(spark, sf_dir).join(values, "page_id", "left").selectExpr(
         "page_id", "path", "status", "elapsed_s", "error", "fetched_at",
         "split(html, '</title>', 2) AS parts",
         f"concat_ws('', {', '.join(TAGS)}) AS tags",
@@ -216,7 +221,7 @@ def page_meta(spark: SparkSession, sf_dir: str, query_page: DataFrame | None = N
 
 def audited(spark: SparkSession, sf_dir: str) -> DataFrame:
     search = SearchFacts(spark, sf_dir)
-    zero = search.zero_click()
+    zero = search.landed_zero_click()
     pages = page_meta(spark, sf_dir, search.query_page)
     return audit.audit_pages(audit.with_context(pages, zero, search.ranked(zero)), SITE)
 

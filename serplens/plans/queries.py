@@ -149,7 +149,7 @@ def fetch_summary(spark, sf_dir):
     return search.page.agg(F.count(F.lit(1)).alias("page_rows")).select(
         rows(search.query_page).alias("query_page_rows"),
         "page_rows",
-        rows(facts.zero_click_rows(search.query_page, d.SITE)).alias("zero_click_rows"),
+        rows(search.zero_click()).alias("zero_click_rows"),
         rows(search.ranking()).alias("ranking_rows"),
         F.lit(d.SITE.filter_tag).alias("filter_tag"),
     )
@@ -160,7 +160,7 @@ def fetch_summary(spark, sf_dir):
 @query
 def path_queries(spark, sf_dir):
     search = d.SearchFacts(spark, sf_dir)
-    merged = ranking.attach_queries(search.ranking(), ranking.path_queries(search.zero_click()))
+    merged = ranking.attach_queries(search.ranking(), ranking.path_queries(search.landed_zero_click()))
     return merged.select("path", "query_count", F.posexplode_outer("top_queries").alias("nth", "q")) \
         .select("path", "query_count", (F.col("nth") + 1).cast("long").alias("nth"),
                 "q.query", "q.impressions", "q.position")
@@ -264,7 +264,7 @@ def _ruled(spark: SparkSession, sf_dir: str, *rules: str) -> DataFrame:
 def _with_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with their top queries."""
     search = d.SearchFacts(spark, sf_dir)
-    queries = audit.coverage_queries(facts.zero_click_rows(search.query_page, d.SITE))
+    queries = audit.coverage_queries(search.zero_click())
     return d.page_meta(spark, sf_dir, search.query_page).join(queries, "path", "left")
 
 
@@ -323,7 +323,7 @@ class _Rewrite:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         search = d.SearchFacts(spark, sf_dir)
-        self.zero = search.zero_click()
+        self.zero = search.landed_zero_click()
         self.targets = search.ranked(self.zero).withColumn(
             "batch_id", F.floor((F.col("priority_rank") - 1) / params.REWRITE_BATCH_SIZE).cast("long")
         )
