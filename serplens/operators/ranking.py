@@ -120,7 +120,8 @@ def top_pages(scored: DataFrame, n: int) -> DataFrame:
     Each task keeps ``n`` rows and those are merged; nothing is sorted in full.
     """
     best = scored.orderBy(*_score_order()).limit(n)
-    return best.withColumn("priority_rank", F.row_number().over(Window.orderBy(*_score_order())))
+    nth = F.row_number().over(Window.orderBy(*_score_order()))
+    return best.withColumn("priority_rank", nth.cast("long"))
 
 
 def rank_range(ranked: DataFrame, first: int, last: int,

@@ -15,6 +15,10 @@ import duckdb
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "boolean": "BOOLEAN", "date": "DATE"}
+
+
 def cell(value):
     """A value in a form both engines agree on."""
     if value is None:
@@ -23,9 +27,9 @@ def cell(value):
         return str(value)
     if isinstance(value, (float, Decimal)):
         value = float(value)
-        return "NaN" if math.isnan(value) else f"{value:.9g}"
+        return "NaN" if math.isnan(value) else repr(value)
     if isinstance(value, int):
-        return f"{float(value):.9g}" if abs(value) < 10**9 else str(value)
+        return str(value)
     if isinstance(value, (dt.date, dt.datetime)):
         return str(value)[:10] if not isinstance(value, dt.datetime) else str(value)
     return repr(str(value))
@@ -53,6 +57,10 @@ def compare(spark, con, sf_dir, run, sql):
     sql_rows = result.fetchall()
     if sorted(df.columns) != sorted(names):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
+    types = {c[0]: str(c[1]) for c in result.description}
+    odd = {n: (t, types[n]) for n, t in df.dtypes if TYPES[t] != types[n]}
+    if odd:
+        return f"types differ: {odd}"
     ours, theirs = normal(spark_rows, df.columns), normal(sql_rows, names)
     if ours != theirs:
         only_ours = [r for r in ours if r not in set(theirs)][:2]

@@ -84,7 +84,9 @@ def test_snapshots(spark, tmp_path):
 
 
 def test_shared_folder_is_the_named_one(spark):
-    assert storage.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    folder = storage.shared_dir(spark)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert folder == named.rstrip("/") == storage.shared_dir(spark)
 
 
 def test_steps_end_to_end(spark, tiny, tmp_path):
