@@ -82,6 +82,18 @@ def snapshot_latest(spark, sf_dir):
     return facts.roll_up(latest, ["filter_tag", "run_date", "page"])
 
 
+@query
+def table_roundtrip(spark, sf_dir):
+    """The ranking report as a dated, tagged partition of a table, read back."""
+    path = scratch_path(spark, "ranking")
+    report = d.SearchFacts(spark, sf_dir).ranking().withColumns({
+        "filter_tag": F.lit(d.SITE.filter_tag), "run_date": F.lit(d.RUN_DATE),
+    })
+    report.write.partitionBy("filter_tag", "run_date").parquet(path)
+    discard_at_exit(spark, path)
+    return snapshots.latest_snapshot(spark.read.schema(report.schema).parquet(path), d.SITE.filter_tag)
+
+
 @query
 def csv_roundtrip(spark, sf_dir):
     """The zero-click report as CSV under its published headers, read back."""

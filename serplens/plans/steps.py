@@ -60,7 +60,8 @@ def _ranked(spark: SparkSession, site: Site, base: str) -> tuple[date, DataFrame
 def crawl_pages(site: Site, base: str, raw_pages: DataFrame, fetched: str | None = None) -> dict:
     """Metadata of the ranked pages out of landed HTML, and the crawl report.
 
-    ``fetched`` names the column that orders repeated fetches of a path.
+    ``fetched`` names the column that orders repeated fetches of a path; without
+    it, every path has to be there once.
     """
     spark = raw_pages.sparkSession
     run_date, ranked = _ranked(spark, site, base)

@@ -138,6 +138,8 @@ def test_path_queries_count_all_but_list_few(spark):
     got = {r["path"]: r for r in ranking.path_queries(spark.createDataFrame(rows, schemas.ZERO_CLICK), 4).collect()}
     assert got["/a"]["query_count"] == 15
     assert [q["impressions"] for q in got["/a"]["top_queries"]] == [29, 28, 27, 26]
+    rough = ranking.query_counts(spark.createDataFrame(rows, schemas.ZERO_CLICK), approximate=True)
+    assert {r["path"]: r["query_count"] for r in rough.collect()} == {"/a": 15, "/b": 1}
     assert got["/b"]["query_count"] == 1 and got["/b"]["top_queries"][0]["query"] == "null"
 
 

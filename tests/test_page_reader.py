@@ -1,5 +1,7 @@
 """Metadata extraction on literal documents."""
 
+import random
+
 import pytest
 
 from serplens import schemas
@@ -132,3 +134,19 @@ def test_latest_per_path(spark):
     rows = [("/a", 1, "x"), ("/a", 3, "z"), ("/a", 2, "y"), ("/b", 1, "w")]
     df = spark.createDataFrame(rows, "path string, fetched_at int, title string")
     assert sorted(r["title"] for r in extract.latest_per_path(df).collect()) == ["w", "z"]
+
+
+def test_tag_soup_never_loses_a_page(spark):
+    rng = random.Random(2)
+    parts = ["<head>", "</head>", "<title>", "</title>", "<h1>", "</h1>", "<p", ">", "text", "&amp;", "&#", "&x", "<!--", "-->",
+             "<script>", "</script>", '<script type="application/ld+json">', '{"a":1}', "<br/>", "</p>", "<![CDATA[x]]>",
+             "<meta name=description content=d>", '"', "<link rel=canonical href=/c>", "<?pi", "<!doctype html>", "</", "<"]
+    soup = [(str(i), 200, "".join(rng.choice(parts) for _ in range(40)), None) for i in range(500)]
+    raw = spark.createDataFrame(soup, "path string, status int, html string, error string")
+    got = {r["path"]: r for r in extract.extract_metadata(raw).collect()}
+    assert set(got) == {p for p, *_ in soup}
+    for path, _, text, _ in soup:
+        row = got[path]
+        assert (row["error"] is None) == (row["h1"] is not None)
+        if "<head" not in text:
+            assert row["error"] is not None

@@ -1,5 +1,6 @@
 """Scalar rules on hand-derived rows."""
 
+import random
 from datetime import date
 
 import pytest
@@ -166,3 +167,29 @@ def test_branded_title(spark):
     got = apply(spark, "t string", rows, text.branded_title(F.col("t"), " | B", 20))
     assert got == ["Plain title | B", "Already | B", "A title that | B", " | B"]
     assert all(len(t) <= 20 for t in got)
+
+
+def test_clamped_text_is_a_fitting_prefix(spark):
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("ab  c。，；！中文é\n") for _ in range(rng.randrange(0, 60))) for _ in range(400)]
+    got = apply(spark, "t string", [(t,) for t in texts], F.struct("t", text.clamp(F.col("t"), 20).alias("c")))
+    for t, c in got:
+        assert len(c) <= 20 and t.startswith(c)
+        assert c == t or len(t) > 20
+        if len(t) > 20 and any("一" <= ch <= "鿿" for ch in t):
+            ends = [i for i, ch in enumerate(t[:20]) if ch in "。！？；，"]
+            assert c == (t[:ends[-1] + 1] if ends else t[:20])
+
+
+def test_coverage_against_brute_force(spark):
+    rng = random.Random(5)
+    vocabulary = ["gene", "Edit", "cell", "中文", "a", "É", "x-y", ""]
+
+    def phrase(n, seps=(" ", "  ", "\u3000", "\u00a0", "\t")):
+        return "".join(rng.choice(vocabulary) + rng.choice(seps) for _ in range(rng.randrange(n)))
+
+    rows = [([phrase(6) for _ in range(3)], phrase(5), phrase(8), phrase(3)) for _ in range(300)]
+    got = apply(spark, "q array<string>, t string, d string, k string", rows, text.uncovered_queries(
+        F.col("t"), F.col("d"), F.col("k"), F.col("q")))
+    assert got == [uncovered(*r) for r in rows]
+    assert any(got) and not all(got)
