@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from serplens import params
 from serplens.functions import jsonld, text
-from serplens.operators.crawl import percent_of
+from serplens.functions.numbers import percent_of, round_exact
 from serplens.operators.facts import top_queries
 from serplens.params import Site
 
@@ -125,9 +125,9 @@ def audit_summary(audited: DataFrame) -> DataFrame:
         count, chars = F.col(f"{prefix}_too_long_count"), F.col(f"{prefix}_total_length")
         out += [
             count,
-            F.round(percent_of(count, total), 1).alias(f"{prefix}_too_long_pct"),
+            round_exact(percent_of(count, total), 1).alias(f"{prefix}_too_long_pct"),
             F.col(f"{prefix}_max_length"),
-            F.round(F.coalesce(F.try_divide(chars, total), F.lit(0.0)), 1).alias(f"{prefix}_avg_length"),
+            round_exact(F.coalesce(F.try_divide(chars, total), F.lit(0.0)), 1).alias(f"{prefix}_avg_length"),
             chars,
         ]
     return totals.select(*out)

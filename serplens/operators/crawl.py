@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from serplens.functions import labels
+from serplens.functions.numbers import percent_of, round_exact
 
 MISSING_SAMPLE = 10
 
@@ -30,7 +31,7 @@ def crawl_rows(pages: DataFrame, base_url: str) -> DataFrame:
         "priority_rank", "path",
         labels.full_url(base_url, F.col("path")).alias("url"),
         "status",
-        F.round("elapsed_s", 2).alias("elapsed_s"),
+        round_exact(F.col("elapsed_s"), 2).alias("elapsed_s"),
         present(F.col("title")).alias("has_title"),
         present(F.col("meta_description")).alias("has_description"),
         present(F.col("og_title")).alias("has_og"),
@@ -46,11 +47,6 @@ def crawl_report(pages: DataFrame, ranked: DataFrame, base_url: str) -> DataFram
     return crawl_rows(in_priority_order(pages, ranked), base_url).orderBy("priority_rank", "path")
 
 
-def percent_of(count: Column, total: Column) -> Column:
-    """Share in percent, 0 when there is nothing to share."""
-    return F.coalesce(F.try_divide(count * F.lit(100.0), total), F.lit(0.0))
-
-
 #: Counter: (column it looks at, test).
 COVERAGE = {
     "title": ("title", present),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from serplens import params
 from serplens.functions import jsonld, labels, text
+from serplens.functions.numbers import round_exact
 from serplens.sources.landing import date_window
 
 NAN = float("nan")
@@ -193,3 +194,12 @@ def test_coverage_against_brute_force(spark):
         F.col("t"), F.col("d"), F.col("k"), F.col("q")))
     assert got == [uncovered(*r) for r in rows]
     assert any(got) and not all(got)
+
+
+@pytest.mark.parametrize("digits", [1, 2])
+def test_rounding_equals_pythons(spark, digits):
+    rng = random.Random(9)
+    values = [k / 20 for k in range(0, 4000, 1)] + [k / 200 for k in range(1, 4000, 2)] + [k / 8 for k in range(400)]
+    values += [rng.uniform(0, 10**rng.randrange(-6, 9)) for _ in range(3000)] + [2.675, 1e-9, 0.0, -0.25, -0.35]
+    got = apply(spark, "v double", [(v,) for v in values], round_exact(F.col("v"), digits))
+    assert got == [round(v, digits) for v in values]
