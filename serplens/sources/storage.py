@@ -27,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/serplens/{uuid.uuid4().hex}/{name}"
+    return f"{shared_dir(spark)}/serplens/{name}-{uuid.uuid4().hex}"
 
 
 def discard_at_exit(spark: SparkSession, path: str) -> None:
