@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from serplens.llm import op03_jaccard_join
+from serplens.llm import op03_jaccard_join, op05_token_blocks
+from serplens.llm import op10_mixing as mixing
 from serplens.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +16,11 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def query(run: Query) -> Query:
     QUERIES[run.__name__] = run
     return run
@@ -23,3 +30,50 @@ def query(run: Query) -> Query:
 def op3_jaccard_join(spark, sf_dir):
     """Every document with its component of texts that share three quarters of their shingles."""
     return op03_jaccard_join.jaccard_classes(documents(spark, sf_dir))
+
+
+@query
+def op5_token_blocks(spark, sf_dir):
+    """Every document as its encoded files give it back."""
+    return op05_token_blocks.encoded_roundtrip(documents(spark, sf_dir), tokenizer_file())
+
+
+@query
+def op10_mixing(spark, sf_dir):
+    """Words that the mix takes of every document."""
+    sized = documents(spark, sf_dir).select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    return mixing.mix(sized).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op10_mixing"] = r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS s,
+         (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w
+  FROM sized GROUP BY source
+), rounds AS (
+  SELECT 0 AS n, source, s, w, false AS capped FROM sources
+  UNION ALL
+  SELECT n + 1, source, s, w, capped OR 3 * s * sum(CASE WHEN capped THEN 0 ELSE w END) OVER ()
+      < (sum(s) OVER () - sum(CASE WHEN capped THEN 3 * s ELSE 0 END) OVER ()) * w
+  FROM rounds WHERE n < (SELECT count(*) FROM sources)
+), targets AS (
+  SELECT source, s, CASE WHEN capped THEN CAST(3 * s AS DOUBLE) ELSE
+      CAST((sum(s) OVER () - sum(CASE WHEN capped THEN 3 * s ELSE 0 END) OVER ()) * w AS DOUBLE)
+      / sum(CASE WHEN capped THEN 0 ELSE w END) OVER () END AS target
+  FROM rounds WHERE n = (SELECT count(*) FROM sources)
+), placed AS (
+  SELECT d.doc_id, d.size, t.s, t.target,
+         CAST(floor(t.target) AS BIGINT) AS budget,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.size
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, s AS source_size, target,
+       CAST(budget // greatest(s, 1) * size
+            + greatest(0, least(size, budget % greatest(s, 1) - before)) AS BIGINT) AS taken
+FROM placed
+"""
