@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from serplens.llm import op03_jaccard_join, op05_token_blocks
+from serplens.llm import op03_jaccard_join, op04_secret_scan, op05_token_blocks, op07_decontamination
 from serplens.llm import op10_mixing as mixing
-from serplens.llm.tables import documents
+from serplens.llm.tables import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,3 +77,36 @@ SELECT doc_id, size, s AS source_size, target,
             + greatest(0, least(size, budget % greatest(s, 1) - before)) AS BIGINT) AS taken
 FROM placed
 """
+
+
+@query
+def op7_decontamination(spark, sf_dir):
+    """Words of every document that lie in a window of a benchmark item."""
+    return op07_decontamination.with_item_digest(
+        op07_decontamination.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark")))
+
+
+_WORDS7 = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+ORACLES["op7_decontamination"] = f"""
+WITH d AS (SELECT doc_id, coalesce({_WORDS7}, []) AS w FROM documents),
+b AS (SELECT item_id, {_WORDS7} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT n FROM bw),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lengths WHERE len(w) >= n)),
+m AS (SELECT dw.doc_id, dw.i, dw.n, bw.item_id FROM dw JOIN bw USING (n, g)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+  array_to_string(list_sort(list_distinct(list(CAST(item_id AS VARCHAR)))), ',') AS items FROM m GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
+@query
+def op4_secret_scan(spark, sf_dir):
+    """Secrets of every document: known forms and strings that pass for random."""
+    return op04_secret_scan.with_span_digest(op04_secret_scan.scan(documents(spark, sf_dir)))
