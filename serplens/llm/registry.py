@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from serplens.llm import op03_jaccard_join, op04_secret_scan, op05_token_blocks, op07_decontamination
+from serplens.llm import op09_line_labels
 from serplens.llm import op10_mixing as mixing
 from serplens.llm.tables import documents, table
 
@@ -110,3 +111,11 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 def op4_secret_scan(spark, sf_dir):
     """Secrets of every document: known forms and strings that pass for random."""
     return op04_secret_scan.with_span_digest(op04_secret_scan.scan(documents(spark, sf_dir)))
+
+
+@query
+def op9_line_labels(spark, sf_dir):
+    """Word and line counts of every document and whether its lines are content."""
+    docs = documents(spark, sf_dir)
+    field = op09_line_labels.fit_field(docs, table(spark, sf_dir, "labels"))
+    return op09_line_labels.quality(docs.select("doc_id", "text"), field).drop("text")

@@ -1,6 +1,6 @@
 """Word and shingle hashes of many texts at once, as numpy arrays.
 
-A word is a run of bytes outside ASCII white space; A-Z count as a-z. Texts are
+A word is a run of bytes outside ASCII white space. Texts are
 taken as the UTF-8 bytes of an Arrow array, in slices of bounded size, so that
 memory follows one slice or one long text, never a whole partition.
 """
@@ -19,8 +19,9 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _PRIME = np.uint64(0x9E3779B97F4A7C13)
 _seeded = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _seeded.integers(0, 1 << 64, 256, dtype=np.uint64)
-_BYTE[65:91] = _BYTE[97:123]
 _BYTE[_SPACE] = 0
+_FOLDED = _BYTE.copy()
+_FOLDED[65:91] = _BYTE[97:123]
 _PLACE = _seeded.integers(0, 1 << 64, 16, dtype=np.uint64) | np.uint64(1)
 _powers = np.ones(1, dtype=np.uint64)
 
@@ -57,11 +58,19 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.
         first = last
 
 
-def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word in order, and the index of each text's first word (one more at the end)."""
+def in_words(raw: np.ndarray) -> np.ndarray:
+    """Which bytes are outside white space."""
+    return ~_SPACE[raw]
+
+
+def word_hashes(raw: np.ndarray, at: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word in order, and the index of each text's first word (one more at the end).
+
+    ``fold``: A-Z count as a-z.
+    """
     if len(raw) == 0:
         return np.zeros(0, np.uint64), np.zeros(len(at), np.int64)
-    solid = ~_SPACE[raw]
+    solid = in_words(raw)
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
     inner = at[:-1][at[:-1] < at[1:]]
@@ -72,7 +81,7 @@ def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     # White space adds nothing, so a word may be summed up to the next word's start.
     spans = np.diff(starts, append=len(raw))
     place = np.arange(starts[0], len(raw)) - np.repeat(starts, spans)
-    terms = _BYTE[raw[starts[0]:]] * _power_table(int(spans.max()))[place]
+    terms = (_FOLDED if fold else _BYTE)[raw[starts[0]:]] * _power_table(int(spans.max()))[place]
     return mix(np.add.reduceat(terms, starts - starts[0])), np.searchsorted(starts, at)
 
 
