@@ -18,8 +18,10 @@ pairs inside a group of copies:
    number also bounds the overlap with any partner.
 4. Stars. The most typical node of each posting list is its hub. Nodes are
    verified against their best hubs and the links found are contracted.
-5. Remainder. All pairs across different components that share enough prefix
-   shingles are verified, so no link between components is lost.
+5. Remainder. All pairs across different components are formed that share a
+   shingle early enough to be the first match of a link; of these, the pairs with
+   ``l`` matches in their lengthened prefixes are verified. So no link between
+   components is lost.
 
 Node ids are 64-bit hashes of whole sets: among ``d`` distinct texts two of them
 fall together with a chance of about ``d**2 / 4e19``.
@@ -45,8 +47,10 @@ MAX_MATCHES = 8
 HUBS_PER_NODE = 3
 #: Verifying a candidate costs about this many posting entries per shingle of the node.
 VERIFY_COST = 0.05
+#: Pages of 4 KB in the bitmap that keeps most texts out of a shuffle.
+BITMAP_PAGES = 2048
 #: What a posting says of its node.
-POSTED = ("node", "n", "u", "l", "pos")
+POSTED = ("node", "n", "u", "pos")
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -110,6 +114,21 @@ def _survivors(signed: DataFrame, num: int, den: int) -> DataFrame:
         f"{den} * (n - coalesce(alone, 0)) >= {num} * n").select("node", "row.*")
 
 
+def _in_bitmap(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The ``rows`` whose text_hash may be in ``wanted``, told before texts are shuffled.
+
+    A bitmap of ``BITMAP_PAGES`` pages of 32,768 bits each, 4 KB, so its size is
+    fixed and it may be broadcast. The fuller it is, the more rows pass in vain.
+    """
+    bit = F.expr(f"pmod(text_hash, {BITMAP_PAGES * 32768}L)")
+    pages = wanted.select(bit.alias("bit")).groupBy(F.expr("bit div 32768").alias("page")) \
+        .agg(F.bitmap_construct_agg(F.expr("bit % 32768")).alias("bits"))
+    octet = F.expr("int(conv(hex(substring(bits, int(bit % 32768 div 8) + 1, 1)), 16, 10))")
+    return rows.withColumn("bit", bit).withColumn("page", F.expr("bit div 32768")) \
+        .join(F.broadcast(pages), "page") \
+        .where(F.getbit(octet, F.expr("int(bit % 8)")) == 1).drop("bit", "page", "bits")
+
+
 def _sets(docs: DataFrame, survivors: DataFrame, k: int) -> DataFrame:
     """(node, n, shingles) of the surviving nodes, read from their whole texts."""
     def run(batches):
@@ -121,7 +140,7 @@ def _sets(docs: DataFrame, survivors: DataFrame, k: int) -> DataFrame:
                         F.xxhash64("text").alias("text_hash"))
     same = keyed["doc_id"].eqNullSafe(survivors["doc_id"]) & (keyed["text_hash"] == survivors["text_hash"])
     # Rows that repeat both id and text give the same node again.
-    return keyed.join(survivors, same, "left_semi").select("text") \
+    return _in_bitmap(keyed, survivors).join(survivors, same, "left_semi").select("text") \
         .mapInArrow(run, "node bigint, n int, shingles array<bigint>").dropDuplicates(["node"])
 
 
@@ -171,22 +190,40 @@ def _profiles(sets: DataFrame, num: int, den: int) -> DataFrame:
 
 def _postings(profiles: DataFrame) -> DataFrame:
     """One row per posted shingle, with its place in the node's whole order."""
-    return profiles.select("node", "n", "u", "l", F.posexplode("prefix").alias("pos", "token")) \
+    return profiles.select("node", "n", "u", F.posexplode("prefix").alias("pos", "token")) \
         .withColumn("pos", F.col("pos") + F.col("n") - F.col("u"))
 
 
 def _fits(a: str, b: str, num: int, den: int) -> str:
-    """Whether two nodes that post a shingle leave room for a link that needs this match.
+    """Whether a match of two nodes may be the first of a link.
 
     A link takes an overlap of ``o`` shingles, known from both sizes. Then ``l``
-    matches lie in the prefixes of lengths ``n - o + l`` already, which are shorter
-    than the posted ones, most of all for texts of equal size.
+    matches lie in the prefixes of lengths ``n - o + l`` already, for every ``l``,
+    the first of them for ``l = 1``. These are shorter than the posted prefixes,
+    most of all for texts of equal size.
     """
-    overlap = f"(({num} * ({a}n + {b}n) + {num + den - 1}) div {num + den})"
-    reach = f"{overlap} - least({a}l, {b}l)"
+    overlap = _overlap(a, b, num, den)
     return (f"{den} * least({a}n, {b}n) >= {num} * greatest({a}n, {b}n) AND "
             f"least({a}u, {b}u) >= {overlap} AND "
-            f"{a}pos < {a}n - ({reach}) AND {b}pos < {b}n - ({reach})")
+            f"{a}pos <= {a}n - {overlap} AND {b}pos <= {b}n - {overlap}")
+
+
+def _overlap(a: str, b: str, num: int, den: int) -> str:
+    """Shingles that two nodes must share to link."""
+    return f"(({num} * ({a}n + {b}n) + {num + den - 1}) div {num + den})"
+
+
+def _enough_matches(pairs: DataFrame, profiles: DataFrame, num: int, den: int) -> DataFrame:
+    """The (a, b) that share the smaller ``l`` of both in prefixes lengthened for it."""
+    def side(c):
+        return profiles.select(F.col("node").alias(c), *[
+            F.col(x).alias(f"{c}_{x}") for x in ("n", "u", "l", "prefix")])
+
+    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    reach = f"{_overlap('a_', 'b_', num, den)} - least(a_l, b_l)"
+    return both.where(F.expr(
+        f"size(array_intersect(slice(a_prefix, 1, greatest(0, a_u - ({reach}))), "
+        f"slice(b_prefix, 1, greatest(0, b_u - ({reach}))))) >= least(a_l, b_l)")).select("a", "b")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -237,9 +274,7 @@ def _remaining_pairs(postings: DataFrame, labels: DataFrame, num: int, den: int)
     everyone = mixed.select("token", "main", *[F.col(c).alias(f"b_{c}") for c in (*POSTED, "label")])
     return few.join(everyone, "token").where(
         "a_label <> b_label AND (b_label = main OR a_node < b_node) AND " + _fits("a_", "b_", num, den)
-    ).groupBy(F.col("a_node").alias("a"), F.col("b_node").alias("b")).agg(
-        F.count(F.lit(1)).alias("c"), F.first(F.least("a_l", "b_l")).alias("needed")
-    ).where("c >= needed").select("a", "b")
+    ).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
 
 
 def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) -> DataFrame:
@@ -256,11 +291,13 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
     signed = materialize(signatures(docs, k, share), "signatures")
     survivors = materialize(_survivors(signed, num, den), "survivors")
     sets = materialize(_sets(docs, survivors, k), "shingle_sets")
-    postings = materialize(_postings(_profiles(sets, num, den)), "prefixes")
+    profiles = materialize(_profiles(sets, num, den), "prefixes")
+    postings = _postings(profiles)
     near = materialize(_verified(materialize(_star_pairs(postings, num, den), "star_pairs"), sets, num, den), "links")
     labels = connected_components(near)
-    far = materialize(_verified(
-        materialize(_remaining_pairs(postings, labels, num, den), "other_pairs"), sets, num, den), "links")
+    other = materialize(_remaining_pairs(postings, labels, num, den), "other_pairs")
+    other = materialize(_enough_matches(other, profiles, num, den), "other_pairs")
+    far = materialize(_verified(other, sets, num, den), "links")
     labels = connected_components(near.unionByName(far))
 
     classes = signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("class_id"))

@@ -30,7 +30,8 @@ from serplens.sources.storage import materialize
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"
-CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
+#: A whole run, tried at its first character only, with a digit.
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
 
 #: Expected share of text among flagged candidates of a class.
 FALSE_SHARE = 0.05
@@ -55,23 +56,25 @@ ENCODINGS = (
 def matches(text: Column, pattern: str, groups: tuple[int, ...] = (0,)) -> Column:
     """array<struct<start, stop, g0, ...>> of all matches in order, in code points.
 
-    The pieces between matches come from ``split``; starts are running lengths of
-    pieces and matches.
+    The pieces between matches come from ``split``. Pieces and matches are paired
+    and walked once, every match starting where the last one stopped plus its piece.
     """
-    found = [F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in groups]
-    gaps = F.split(text, pattern, -1)
-    step = F.transform(found[0], lambda m, i: F.struct(
-        F.length(F.get(gaps, i)).alias("gap"), F.length(m).alias("size")))
-    ends = F.aggregate(
-        step, F.array().cast("array<int>"),
-        lambda done, s: F.concat(done, F.array(
-            F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0)) + s["gap"] + s["size"])))
-    listed = F.transform(ends, lambda end, i: F.struct(
-        (end - F.length(F.get(found[0], i))).alias("start"), end.alias("stop"),
-        *[F.get(f, i).alias(f"g{g}") for g, f in zip(groups, found)]))
-    nothing = "array<struct<start:int,stop:int," + ",".join(f"g{g}:string" for g in groups) + ">>"
+    names = [f"g{g}" for g in groups]
+    paired = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), *[
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(g)).alias(n) for g, n in zip(groups, names)])
+    entry = "struct<start:int,stop:int," + ",".join(f"{n}:string" for n in names) + ">"
+
+    def walk(done, pair):
+        pair = [pair[n] for n in ("gap", *names)]
+        start = F.coalesce(F.try_element_at(done, F.lit(-1))["stop"], F.lit(0)) + F.length(pair[0])
+        here = F.struct(start.alias("start"), (start + F.length(pair[1])).alias("stop"),
+                        *[p.alias(n) for p, n in zip(pair[1:], names)])
+        # The piece after the last match stands alone.
+        return F.when(pair[1].isNull(), done).otherwise(F.concat(done, F.array(here)))
+
+    nothing = F.array().cast(f"array<{entry}>")
     # Texts without a match, nearly all, are only scanned once.
-    return F.when(F.rlike(text, F.lit(pattern)), listed).otherwise(F.array().cast(nothing))
+    return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(paired, nothing, walk)).otherwise(nothing)
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
@@ -86,9 +89,10 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 def candidates(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, start, stop, value) of every candidate run of ``docs`` (keyed)."""
-    found = F.filter(matches(F.col("text"), CANDIDATE), lambda m: F.rlike(m["g0"], F.lit("[0-9]")) & F.rlike(m["g0"], F.lit("[A-Za-z]")))
-    return docs.select("doc_id", "text_hash", F.explode(found).alias("m")).select(
-        "doc_id", "text_hash", "m.start", "m.stop", F.col("m.g0").alias("value"))
+    # Outer, so that the optimizer does not filter on the list's size by building it twice.
+    found = docs.select("doc_id", "text_hash", F.explode_outer(matches(F.col("text"), CANDIDATE)).alias("m"))
+    return found.select("doc_id", "text_hash", "m.start", "m.stop", F.col("m.g0").alias("value")) \
+        .where(F.rlike("value", F.lit("[A-Za-z]")))
 
 
 #: Upper tail of the normal distribution, by a rational approximation with an error below 1e-7.

@@ -10,7 +10,9 @@ extended to all windows that the item has too, compared by 128-bit digest.
 Items of fewer words than a window are one window as a whole. The lengths that
 occur, nine at most, are fingerprinted for all documents as plain k-grams.
 
-Everything is built-in expressions: no Python runs on the executors.
+Everything is built-in expressions: no Python runs on the executors. Arrays made
+by lambdas are exploded with ``explode_outer``: ``explode`` has the optimizer filter
+on their size below the projections, which would build them again per element.
 """
 
 from __future__ import annotations
@@ -67,7 +69,7 @@ def windows(texts: DataFrame, lengths: list[int]) -> DataFrame:
                                   f"'digest', md5(concat_ws(' ', slice(w, i + 1, {n}))))")
         for n in lengths)
     return texts.withColumn("w", words(F.col("text"))).drop("text") \
-        .withColumn("run", F.explode(F.expr(f"concat({runs})"))).drop("w").select("*", "run.*").drop("run")
+        .withColumn("run", F.explode_outer(F.expr(f"concat({runs})"))).drop("w").select("*", "run.*").drop("run")
 
 
 #: Words covered by (start, length) runs in ascending order of start.
@@ -85,10 +87,10 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K
     wanted = materialize(
         fingerprints(items.select("text", "n"), window, k, short)
         # A short item is known by its whole run only, which is one of its prints.
-        .select(F.explode("prints").alias("print")).distinct(), "prints")
+        .select(F.explode_outer("prints").alias("print")).distinct(), "prints")
     rows = keyed(docs)
     suspects = materialize(
-        fingerprints(rows, window, k, short).select("doc_id", "text_hash", F.explode("prints").alias("print"))
+        fingerprints(rows, window, k, short).select("doc_id", "text_hash", F.explode_outer("prints").alias("print"))
         .join(wanted, "print", "left_semi").select("doc_id", "text_hash").distinct(), "suspects")
     lengths = [*short, window]
     runs = materialize(
