@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from serplens.llm import op03_jaccard_join, op04_secret_scan, op05_token_blocks, op07_decontamination
+from serplens.llm import op03_jaccard_join, op04_secret_scan, op05_token_blocks, op06_ppm
+from serplens.llm import op07_decontamination
 from serplens.llm import op09_line_labels
 from serplens.llm import op10_mixing as mixing
 from serplens.llm.tables import documents, table
@@ -119,3 +120,9 @@ def op9_line_labels(spark, sf_dir):
     docs = documents(spark, sf_dir)
     field = op09_line_labels.fit_field(docs, table(spark, sf_dir, "labels"))
     return op09_line_labels.quality(docs.select("doc_id", "text"), field).drop("text")
+
+
+@query
+def op6_ppm(spark, sf_dir):
+    """Log10 probability of every document under a word count model and a byte context model."""
+    return op06_ppm.ppm_scores(documents(spark, sf_dir))
