@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from serplens.llm import op03_jaccard_join, op04_secret_scan, op05_token_blocks, op06_ppm
+from serplens.llm import op02_disclosure, op03_jaccard_join, op04_secret_scan, op05_token_blocks, op06_ppm
 from serplens.llm import op07_decontamination
 from serplens.llm import op09_line_labels
 from serplens.llm import op10_mixing as mixing
@@ -126,3 +126,9 @@ def op9_line_labels(spark, sf_dir):
 def op6_ppm(spark, sf_dir):
     """Log10 probability of every document under a word count model and a byte context model."""
     return op06_ppm.ppm_scores(documents(spark, sf_dir))
+
+
+@query
+def op2_disclosure(spark, sf_dir):
+    """Personal data of every document and the terms that disclose it."""
+    return op02_disclosure.with_span_digest(op02_disclosure.scan(documents(spark, sf_dir)))
