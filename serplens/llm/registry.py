@@ -7,9 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from serplens.llm import op02_disclosure, op03_jaccard_join, op04_secret_scan, op05_token_blocks, op06_ppm
-from serplens.llm import op07_decontamination
-from serplens.llm import op09_line_labels
+from serplens.llm import (
+    op01_substring_dedup,
+    op02_disclosure,
+    op03_jaccard_join,
+    op04_secret_scan,
+    op05_token_blocks,
+    op06_ppm,
+    op07_decontamination,
+    op08_site_spread,
+    op09_line_labels,
+)
 from serplens.llm import op10_mixing as mixing
 from serplens.llm.tables import documents, table
 
@@ -132,3 +140,15 @@ def op6_ppm(spark, sf_dir):
 def op2_disclosure(spark, sf_dir):
     """Personal data of every document and the terms that disclose it."""
     return op02_disclosure.with_span_digest(op02_disclosure.scan(documents(spark, sf_dir)))
+
+
+@query
+def op1_substring_dedup(spark, sf_dir):
+    """Every document without passages that stand in an earlier one, and where they stood."""
+    return op01_substring_dedup.dedup(documents(spark, sf_dir))
+
+
+@query
+def op8_site_spread(spark, sf_dir):
+    """Every document without the lines that occur in many sources."""
+    return op08_site_spread.remove_boilerplate(documents(spark, sf_dir))
