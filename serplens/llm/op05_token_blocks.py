@@ -7,12 +7,13 @@ is made of the ids' counts in all documents and is stored beside the blocks as
 all a reader needs. A block is decoded by one table look-up per id, for all its
 checkpoints at once.
 
-Texts are cut at ASCII white space before they are tokenised, and each distinct
-word is tokenised once per worker: the tokenizer never joins across white space.
+Texts are cut at ASCII white space before they are tokenised, and workers remember
+the ids of distinct words: the tokenizer never joins across white space.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,36 +28,89 @@ END_ID = 1
 MAX_BITS = 16
 BLOCK_IDS = 1 << 18
 INTERVAL = 256
-#: Distinct words a worker remembers before it starts anew.
-REMEMBERED = 200_000
-_tokenizers: dict[str, tuple] = {}
+#: Distinct words, and distinct pieces of words, that a worker remembers before it starts anew.
+REMEMBERED = 300_000
+_tokenizers: dict[str, WordTokenizer] = {}
 
 
-def _tokenizer(path: str) -> tuple:
-    """The tokenizer of a file and the words it has seen, kept for the worker's life."""
-    if path not in _tokenizers:
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte: itself if it prints, else the next one from 256 on."""
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    spare = iter(range(256, 512))
+    return [chr(b if b in prints else next(spare)) for b in range(256)]
+
+
+class WordTokenizer:
+    """A tokenizer file with a memory, for vocabularies that drop white space between words.
+
+    Words in ASCII and the Latin-1 letters are lower-cased and cut into pieces here
+    and each distinct piece is looked up once in the file's model; any other word
+    goes through the whole tokenizer. Both give the tokenizer's own ids.
+    """
+
+    SIMPLE = re.compile("[\x21-\x7e\u00c0-\u00ff]+")
+    PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+    #: Added tokens hold this; texts with it are left to the tokenizer.
+    ADDED = "<|"
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
+        self.whole = Tokenizer.from_file(path)
+        self.kind = "<u4"
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.letters = _byte_letters()
+
+    def _piece(self, piece: str) -> bytes:
+        mapped = "".join(self.letters[b] for b in piece.encode())
+        return np.array([t.id for t in self.whole.model.tokenize(mapped)], dtype=self.kind).tobytes()
+
+    def _library(self, text: str) -> bytes:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if not self.SIMPLE.fullmatch(text):
+            return self._library(text)
+        found = []
+        for piece in self.PIECE.findall("".join(map(str.lower, text)) if not text.isascii() else text):
+            ids = self.pieces.get(piece)
+            if ids is None:
+                ids = self.pieces[piece] = self._piece(piece)
+            found.append(ids)
+        return b"".join(found)
+
+    def ids(self, text: str | None) -> bytes:
+        """Ids of a text as integers of ``kind``; null is empty."""
+        if not text:
+            return b""
+        if self.ADDED in text:
+            return self._library(text)
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        if len(self.pieces) > REMEMBERED:
+            self.pieces.clear()
+        # The tokenizer lower-cases too; done first, it leaves fewer distinct words.
+        words = text.encode().lower().split()
+        known = self.words
+        for word in words:
+            if word not in known:
+                known[word] = self._word(word)
+        return b"".join(map(known.__getitem__, words))
+
+
+def word_tokenizer(path: str, kind: str) -> WordTokenizer:
+    """The tokenizer of a file, kept for the worker's life."""
+    if path not in _tokenizers:
+        _tokenizers[path] = WordTokenizer(path)
+    _tokenizers[path].kind = kind
     return _tokenizers[path]
 
 
 def id_type(path: str, end_id: int) -> str:
     """Integers that hold every id: two bytes for vocabularies of up to 65,536."""
-    return "<u2" if max(_tokenizer(path)[0].get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
-
-
-def tokenise(texts: list[str | None], path: str, kind: str) -> list[bytes]:
-    """Ids of each text as integers of ``kind``; null is empty."""
-    tokenizer, known = _tokenizer(path)
-    words = [t.encode().split() if t else [] for t in texts]
-    if len(known) > REMEMBERED:
-        known.clear()
-    fresh = list({w for text in words for w in text if w not in known})
-    for i in range(0, len(fresh), 4096):
-        some = fresh[i:i + 4096]
-        for word, found in zip(some, tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
-            known[word] = np.array(found.ids, dtype=kind).tobytes()
-    return [b"".join(map(known.__getitem__, text)) for text in words]
+    from tokenizers import Tokenizer
+    return "<u2" if max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
 
 
 def token_ids(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
@@ -65,10 +119,11 @@ def token_ids(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     end = np.array([end_id], dtype=kind).tobytes()
 
     def run(batches):
+        tokenizer = word_tokenizer(path, kind)
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 rows = batch.slice(i, 256)
-                ids = [x + end for x in tokenise(rows.column(1).to_pylist(), path, kind)]
+                ids = [tokenizer.ids(t) + end for t in rows.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
@@ -265,7 +320,8 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                 ], names=["part", "doc_id", "within", "n_tokens", "ids"])
 
     decoded = blocks.mapInArrow(run, "part int, doc_id bigint, within bigint, n_tokens bigint, ids binary")
-    return decoded.join(files, F.col("part") == F.col("file")).select(
+    # One row per file, of which there are at most ``spark.sql.shuffle.partitions``.
+    return decoded.join(F.broadcast(files), F.col("part") == F.col("file")).select(
         "doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids")
 
 
