@@ -31,7 +31,7 @@ def _first_match(rules: Sequence[tuple[Column, object]], default: object) -> Col
     return F.lit(default) if cases is F else cases.otherwise(F.lit(default))
 
 
-def page_type(path: Column, rules: Sequence = params.PAGE_TYPE_RULES) -> Column:
+def page_type(path: Column, rules: Sequence) -> Column:
     """Section of the site, by ordered prefix rules.
 
     A prefix also names its own page without the closing slash (``/blog``).
@@ -54,7 +54,7 @@ def priority_label(position: Column) -> Column:
     return _first_match(cases, params.PRIORITY_LABEL_OTHER)
 
 
-def content_type(path: Column, segments: Sequence = params.CONTENT_SEGMENTS) -> Column:
+def content_type(path: Column, segments: Sequence) -> Column:
     """Kind of content, by ordered path segments, ignoring the language prefix."""
     bare = F.regexp_replace(path, "^/en/", "/")
     return _first_match([(bare.contains(part), label) for label, part in segments], "other")
@@ -78,5 +78,8 @@ def opportunity_score(impressions: Column, ctr: Column) -> Column:
 
 
 def matches_any(path: Column, patterns: Sequence[str]) -> Column:
-    """Case-insensitive regular-expression search for any of the patterns."""
-    return path.rlike("(?iu)" + "|".join(f"(?:{p})" for p in patterns))
+    """Case-insensitive regular-expression search for any of the patterns.
+
+    Each pattern is tried by itself: joined into one, their groups would be numbered anew.
+    """
+    return reduce(Column.__or__, (path.rlike("(?iu)" + p) for p in patterns))

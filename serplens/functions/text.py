@@ -78,7 +78,8 @@ def clamp(value: Column, limit: int) -> Column:
     """
     head = F.substring(value, 1, limit)
     clause = F.regexp_extract(head, "(?s)^(.*[。！？；，])", 1)
-    phrase = F.regexp_extract(head, "(?s)^(.*[^ ]) ", 1)
+    # A space just after the limit ends a word that fits.
+    phrase = F.regexp_extract(F.substring(value, 1, limit + 1), "(?s)^(.*[^ ]) ", 1)
     boundary = F.when(has_cjk(value), clause).otherwise(phrase)
     return (
         F.when(F.length(value) <= limit, value)
@@ -95,4 +96,6 @@ def without_suffix(title: Column, suffix: str) -> Column:
 
 def branded_title(title: Column, suffix: str, limit: int) -> Column:
     """Title that ends in the brand suffix and still fits the limit."""
+    if len(suffix) > limit:
+        raise ValueError(f"the suffix {suffix!r} is longer than {limit} characters")
     return F.concat(clamp(without_suffix(title, suffix), limit - len(suffix)), F.lit(suffix))

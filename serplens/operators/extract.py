@@ -58,12 +58,17 @@ def _batch_parser(meta_schema: pa.Schema):
     return parse
 
 
-def extract_metadata(raw_pages: DataFrame) -> DataFrame:
+def extract_metadata(raw_pages: DataFrame, partitions: int | None = None) -> DataFrame:
     """Metadata of landed pages; every other column is passed through.
 
+    ``partitions`` deals the pages out anew before they are parsed, for landed
+    files too few to keep all cores busy; it shuffles their HTML and is off by default.
+
     Only pages fetched with status 200 are parsed. Others carry an error: the
     transport message for status 0, ``HTTP n`` otherwise.
     """
+    if partitions:
+        raw_pages = raw_pages.repartition(partitions)
     ok = F.col("status") == 200
     gated = raw_pages.withColumns({
         "status": F.col("status").cast("int"),
@@ -83,5 +88,7 @@ def latest_per_path(pages: DataFrame, fetched: str = "fetched_at") -> DataFrame:
     Meant for extracted rows: repeated fetches are cheaper to parse twice than
     to shuffle as HTML. Only one row per path and partition is shuffled.
     """
-    order = Window.partitionBy("path").orderBy(F.desc(fetched))
+    # Of fetches at the same time a successful one counts, then one that is the same in every run.
+    whole = F.xxhash64(*(c for c in pages.columns if c not in ("path", fetched)))
+    order = Window.partitionBy("path").orderBy(F.desc(fetched), F.desc(F.col("status") == 200), whole)
     return pages.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") == 1).drop("_nth")

@@ -8,12 +8,16 @@ from __future__ import annotations
 
 import html
 import json
+import math
+from collections import Counter
 from html.entities import html5
 from html.parser import HTMLParser
 
 NO_HEAD = "no <head> found"
 JSON_LD = "application/ld+json"
 
+# --- fixed values: tags and columns of the output ---------------------------
+
 #: (column, attribute value) of the metadata tags, by identifying attribute.
 NAMED_META = (
     ("meta_description", "description"),
@@ -32,13 +36,15 @@ TWITTER_META = tuple(
                  "twitter:image", "twitter:site")
 )
 
-#: Elements without content (fixed list of HTML, obsolete ones included).
-VOID = frozenset(
-    "area base br col embed hr img input keygen link menuitem meta param source track wbr "
-    "basefont bgsound command frame image isindex nextid spacer".split()
-)
+#: Elements without content in HTML, obsolete ones included.
+VOID = {
+    "area", "base", "basefont", "bgsound", "br", "col", "command", "embed", "frame", "hr", "image", "img",
+    "input", "isindex", "keygen", "link", "menuitem", "meta", "nextid", "param", "source", "spacer", "track", "wbr",
+}
 #: Elements whose text is not text of the surrounding element.
-NOT_TEXT = frozenset("script style template rt rp".split())
+NOT_TEXT = {"rp", "rt", "script", "style", "template"}
+
+# --- end of fixed values -----------------------------------------------------
 
 
 class PageReader(HTMLParser):
@@ -56,6 +62,8 @@ class PageReader(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=False)
         self.open: list[str] = []
+        self.open_by_name: Counter[str] = Counter()
+        self.open_not_text = 0
         self.head_depth: int | None = None
         self.in_head = False
         self.named: dict[str, str | None] = {}
@@ -132,6 +140,8 @@ class PageReader(HTMLParser):
         self._end_text()
         values = {name: value or "" for name, value in attrs}
         self.open.append(tag)
+        self.open_by_name[tag] += 1
+        self.open_not_text += tag in NOT_TEXT
         if self.in_head:
             self._enter_in_head(tag, values)
         elif tag == "head" and self.head_depth is None:
@@ -158,10 +168,13 @@ class PageReader(HTMLParser):
 
     def _leave(self, tag):
         self._end_text()
-        if tag not in self.open:
+        if not self.open_by_name[tag]:
             return
-        while self.open.pop() != tag:
-            pass
+        closed = None
+        while closed != tag:
+            closed = self.open.pop()
+            self.open_by_name[closed] -= 1
+            self.open_not_text -= closed in NOT_TEXT
         depth = len(self.open)
         if self.in_head and depth < self.head_depth:
             self.in_head = False
@@ -184,20 +197,45 @@ class PageReader(HTMLParser):
             return
         text = "".join(self._pending).strip()
         self._pending.clear()
-        if text and NOT_TEXT.isdisjoint(self.open):
+        if text and not self.open_not_text:
             for _, pieces in self._texts:
                 pieces.append(text)
 
 
+#: Digits that a reader's exact decimals hold.
+EXACT_DIGITS = 38
+#: Levels of nesting that are kept; readers downstream refuse many more.
+MAX_DEPTH = 200
+
+
+def _finite(number: str) -> float | None:
+    value = float(number)
+    return value if math.isfinite(value) else None
+
+
+def _integer(number: str) -> int | float | None:
+    return int(number) if len(number) <= EXACT_DIGITS else _finite(number)
+
+
+def _cut(value, depth: int = MAX_DEPTH):
+    """The value without what is nested deeper than ``depth``."""
+    if isinstance(value, dict):
+        return {k: _cut(v, depth - 1) for k, v in value.items()} if depth else None
+    if isinstance(value, list):
+        return [_cut(v, depth - 1) for v in value] if depth else None
+    return value
+
+
 def valid_json(text: str) -> str | None:
     """Normal form of a JSON text, NULL when it is none.
 
-    Repeated keys keep the last value and non-finite numbers become null, both
-    of which stricter readers downstream would reject.
+    Repeated keys keep the last value, numbers beyond the range of doubles become
+    null like other non-finite ones, overlong integers become doubles, and what is
+    nested too deep becomes null: stricter readers downstream would reject the block.
     """
     try:
-        value = json.loads(text, parse_constant=lambda _: None)
-        normal = json.dumps(value, ensure_ascii=False)
+        value = _cut(json.loads(text, parse_constant=lambda _: None, parse_float=_finite, parse_int=_integer))
+        normal = json.dumps(value, ensure_ascii=False, allow_nan=False)
         normal.encode()
     except UnicodeEncodeError:
         return json.dumps(value)

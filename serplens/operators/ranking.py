@@ -11,7 +11,7 @@ from serplens import params
 from serplens.functions import labels
 from serplens.operators.facts import top_queries
 from serplens.params import Site
-from serplens.sources.storage import checkpoint
+from serplens.sources.storage import materialize
 
 _QUERY = "struct<query:string,impressions:bigint,position:double>"
 
@@ -82,16 +82,15 @@ def with_global_rank(df: DataFrame, order: Sequence[Column], rank: str = "priori
     Range partitions are sorted in parallel and each row keeps its partition
     and place in it. Only the row count per partition reaches the driver, and
     turns into the rank of each partition's first row. Sampled range bounds may
-    differ between runs of the same plan, so the placed rows are checkpointed
-    before they are counted.
+    differ between runs of the same plan, so the placed rows are written before
+    they are counted.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The id holds the partition in the upper 31 bits and the place in the lower 33.
-    placed = checkpoint(
+    placed = materialize(
         df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
+        .withColumn("_place", F.monotonically_increasing_id()), "placed")
     part = F.shiftright("_place", 33).cast("int")
     sizes = {r["part"]: r["n"] for r in
              placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -27,19 +27,22 @@ def rewrite_targets(ranked: DataFrame, spec: str | int,
     return ranking.rank_range(ranked, *ranking.parse_range(spec), batch_size)
 
 
-def rewrite_context(targets: DataFrame, pages: DataFrame, audited: DataFrame,
-                    zero_click: DataFrame) -> DataFrame:
-    """Everything a rewriter needs per target; targets without metadata are left out."""
+def rewrite_context(targets: DataFrame, pages: DataFrame, zero_click: DataFrame,
+                    audited: DataFrame | None = None) -> DataFrame:
+    """Everything a rewriter needs per target; targets without metadata are left out.
+
+    Issues are part of it if ``audited`` is given. Applying rewrites needs none.
+    """
     empty = F.array().cast("array<struct<query:string,impressions:bigint>>")
-    return (
+    rows = (
         targets.join(pages.select("path", *schemas.META_VALUES.names), "path")
-        .join(audited.select("path", "issues"), "path", "left")
         .join(rewrite_queries(zero_click), "path", "left")
-        .withColumns({
-            "issues": F.coalesce("issues", F.array().cast("array<string>")),
-            "top_queries": F.coalesce("top_queries", empty),
-        })
+        .withColumn("top_queries", F.coalesce("top_queries", empty))
     )
+    if audited is None:
+        return rows
+    return rows.join(audited.select("path", "issues"), "path", "left") \
+        .withColumn("issues", F.coalesce("issues", F.array().cast("array<string>")))
 
 
 def skipped_targets(targets: DataFrame, pages: DataFrame) -> DataFrame:
@@ -140,11 +143,14 @@ def update_statistics(before: DataFrame, after: DataFrame, skipped: DataFrame) -
 def acceptance(updated: DataFrame, site: Site) -> DataFrame:
     """Which output rules each updated page meets."""
     path, title, desc = F.col("path"), F.col("title"), F.col("meta_description")
+    english = path.startswith("/en/")
     return updated.select(
         "path",
         (~text.too_long(title, site.max_title_length)).alias("title_fits"),
         (~text.too_long(desc, site.max_description_length)).alias("description_fits"),
         text.or_empty(title).endswith(site.brand_suffix).alias("branded"),
         text.generic_opener(text.or_empty(desc), site.generic_openers).isNull().alias("specific_opening"),
-        (~text.language_mismatch(path, title, desc)).alias("language_matches"),
+        # English pages carry no Chinese text, the others some.
+        F.when(english, ~text.has_cjk(title) & ~text.has_cjk(desc))
+        .otherwise(~text.language_mismatch(path, title, desc)).alias("language_matches"),
     )

@@ -15,11 +15,26 @@ from pyspark.sql import functions as F
 
 from serplens.operators import audit, extract, facts, ranking
 from serplens.params import Site
-from serplens.sources.storage import materialize, spread_small
-
+from serplens.sources.storage import materialize
+
+#: Sections of an invented site.
+PAGE_TYPES = (
+    ("Guides", ("/guides/", "/en/guides/")),
+    ("Glossary", ("/en/glossary/", "/glossary/")),
+    ("Events", ("/events", "/en/events")),
+    ("Press", ("/press/",)),
+    ("Labs", ("/labs/", "/en/labs/")),
+)
+CONTENT = (
+    ("keyword", "/keyword/"),
+    ("course_article", "/guides/"),
+    ("lab", "/labs/"),
+)
 SITE = Site(
     site_url="https://www.example.com/",
     base_url="https://www.example.com",
+    page_type_rules=PAGE_TYPES,
+    content_segments=CONTENT,
     brand_suffix=" | Example",
     # No page title exceeds the usual 60 characters, many exceed this.
     max_title_length=40,
@@ -30,13 +45,13 @@ RUN_DATE = date(2024, 2, 1)
 
 #: Path prefix by ``page_id % 11``.
 PREFIXES = (
-    "/en/wiki/course/", "/wiki/course/", "/wiki/course/keyword/", "/en/wiki/course/keyword/",
-    "/wiki/tools/", "/paper/", "/en/scholar/", "/apps/", "/notebooks/", "/introduction-", "/blog/",
+    "/guides/", "/en/guides/", "/en/glossary/keyword/", "/glossary/keyword/",
+    "/press/", "/labs/", "/en/labs/", "/notes/", "/events-", "/en/events/", "/shop/",
 )
 #: Pages whose whole path is special.
 SPECIAL_PATHS = {10: "/", 21: "/en", 32: "/en/"}
 
-#: JSON-LD block by ``page_id % 6``.
+#: JSON-LD by ``page_id % 8``; the last one is two blocks.
 JSON_LD = (
     None,
     '{"@type":"Article","datePublished":"2024-01-01","dateModified":"2024-01-02"}',
@@ -44,6 +59,9 @@ JSON_LD = (
     '{"@type":["Article","LearningResource"]}',
     '{"@type":"Course"}',
     "{bad",
+    '{"@type":"Article","x":1e400}',
+    '{"@type":"Course"}</script><script type="application/ld+json">'
+    '[{"@type":"Article","datePublished":"2024-01-01"},7]',
 )
 
 
@@ -62,7 +80,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``pages`` table, ready for parsing."""
-    return spread_small(table(spark, sf_dir, "pages"))
+    return table(spark, sf_dir, "pages")
 
 
 _PREFIX = "element_at(array(" + ", ".join(f"'{p}'" for p in PREFIXES) + f"), int(page_id % {len(PREFIXES)}) + 1)"
@@ -87,9 +105,7 @@ def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"k % {n_items} AS item_id",
         "bigint(event_type = 'click' AND k % 5 = 0) AS clicks",
     )
-    queries = items.selectExpr(
-        "item_id", "lower(split_part(text, ' ', 1) || ' ' || split_part(text, ' ', 2)) AS query"
-    )
+    queries = items.selectExpr("item_id", "lower(text) AS query")
     return log.join(queries, "item_id").selectExpr(
         "run_date", "page_id", "query", f"{PAGE} AS page", "clicks",
         "bigint(1) AS impressions", "double(clicks) AS ctr",
@@ -132,10 +148,6 @@ class SearchFacts:
         return ranking.priority_ranking(self.ranking(), zero, SITE)
 
 
-def ranked(self, zero: DataFrame) -> DataFrame:
-        return ranking.priority_ranking(self.ranking(), zero, SITE)
-
-
 def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     search = SearchFacts(spark, sf_dir)
     return search.ranked(search.zero_click())
@@ -167,19 +179,34 @@ def _tag(before: str, value: str, after: str) -> str:
     return f"'{before}' || {escaped} || '{after}'"
 
 
-_DESCRIPTION = """CASE WHEN page_id % 7 = 0 THEN 'Explore ' ELSE '' END
-  || substr(text, 1, int(40 + (page_id * 13) % 240))"""
+def _tag_if(condition: str, before: str, value: str, after: str = '">') -> str:
+    return f"CASE WHEN {condition} THEN {_tag(before, value, after)} END"
+
+
+#: Description and keywords of a page, from its own text without marks of its mark-up.
+OWN_TEXT = "replace(replace(replace(regexp_replace(html, '<[^>]*>', ' '), '&', ' '), '<', ' '), '>', ' ')"
+_DESCRIPTION = f"""CASE WHEN page_id % 7 = 0 THEN 'Explore ' ELSE '' END
+  || repeat('page ' || page_id || ' ', int(1 + page_id % 20)) || CASE WHEN page_id % 8 = 1 THEN {OWN_TEXT} ELSE '' END"""
 _URL = f"'{SITE.base_url}' || path"
 _BLOCK = "element_at(array(" + ", ".join(
     "NULL" if b is None else f"'{b}'" for b in JSON_LD) + f"), int(page_id % {len(JSON_LD)}) + 1)"
+#: Tags that carry their own name and the page's number, each left out on some pages.
+NUMBERED = {
+    "robots": ("name", 4), "author": ("name", 5), "og:description": ("property", 3), "og:url": ("property", 4),
+    "og:type": ("property", 6), "og:image": ("property", 5), "og:site_name": ("property", 2),
+    "og:image:width": ("property", 7), "og:image:height": ("property", 8), "twitter:title": ("name", 3),
+    "twitter:description": ("name", 4), "twitter:image": ("name", 5), "twitter:site": ("name", 2),
+}
 
 #: SQL of the tags written into a page's head; NULL leaves a tag out.
 TAGS = (
     _tag('<meta name="description" content="', _DESCRIPTION, '">'),
     "'<meta name=\"description\" content=\"never read\">'",
-    _tag('<meta name="keywords" content="', "keywords", '"/>'),
-    "CASE WHEN page_id % 3 = 0 THEN "
-    + _tag('<meta property="og:title" content="', "('OG \"page\" & ' || page_id)", '">') + " END",
+    _tag_if("page_id % 4 <> 3", '<meta name="keywords" content="',
+            f"CASE WHEN page_id % 4 = 1 THEN {OWN_TEXT} ELSE 'page, ' || page_id END", '"/>'),
+    _tag_if("page_id % 3 = 0", '<meta property="og:title" content="', "('OG \"page\" & ' || page_id)"),
+    *(_tag_if(f"page_id % {n} = 1", f'<meta {kind}="{name}" content="', f"('{name} ' || page_id)")
+      for name, (kind, n) in NUMBERED.items()),
     f"""CASE WHEN page_id % 4 = 0 THEN '<link href="' || {_URL} || '" rel="canonical nofollow">' END""",
     f"""CASE WHEN page_id % 5 = 0 THEN '<link rel=alternate hreflang=en href="' || {_URL} || '">' END""",
     """CASE WHEN page_id % 5 = 0 THEN '<link rel="alternate" hreflang="de">' END""",
@@ -189,21 +216,12 @@ TAGS = (
 )
 
 
-def tagged_pages(spark: SparkSession, sf_dir: str, query_page: DataFrame | None = None) -> DataFrame:
-    """The fetch log with metadata tags written into every page's head.
+def tagged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fetch log with metadata tags written into every page's head, from its own row.
 
-    A page's keywords are its alphabetically first query, from ``query_page``
-    where the caller has it already.
+    Some pages lose their head, which turns it into plain content.
     """
-    searched = search_log(spark, sf_dir) if query_page is None else query_page
-    keywords = searched.groupBy("page").agg(F.min("query").alias("keywords"))
-    doc_text = table(spark, sf_dir, "documents").selectExpr("doc_id AS page_id", "substr(text, 1, 280) AS text")
-    ids = table(spark, sf_dir, "pages").select("page_id")
-    # Everything the tags need is narrow and comes together before it meets the HTML.
-    values = ids.withColumn("page", F.expr(PAGE)).join(keywords, "page", "left") \
-        .join(doc_text, "page_id", "left").select("page_id", "keywords", "text")
-    # A left join: HTML is then never the side that is broadcast.
-    return fetch_log(spark, sf_dir).join(values, "page_id", "left").selectExpr(
+    return fetch_log(spark, sf_dir).selectExpr(
         "page_id", "path", "status", "elapsed_s", "error", "fetched_at",
         "split(html, '</title>', 2) AS parts",
         f"concat_ws('', {', '.join(TAGS)}) AS tags",
@@ -211,18 +229,22 @@ def tagged_pages(spark: SparkSession, sf_dir: str, query_page: DataFrame | None
         "* EXCEPT (parts, tags)",
         """CASE WHEN page_id % 5 = 0 THEN replace(parts[0], '<title>', '<title>中文标题 ') ELSE parts[0] END
            || '</title>' || tags || parts[1] AS html""",
-    )
+    ).withColumn("html", F.expr(
+        "CASE WHEN page_id % 23 = 7 THEN replace(replace(html, '<head>', ''), '</head>', '') ELSE html END"))
 
 
-def page_meta(spark: SparkSession, sf_dir: str, query_page: DataFrame | None = None) -> DataFrame:
-    """Extracted metadata, one row per path."""
-    return extract.latest_per_path(extract.extract_metadata(tagged_pages(spark, sf_dir, query_page)))
+def page_meta(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
+    """Extracted metadata, one row per path; ``only`` names the paths to parse."""
+    pages = tagged_pages(spark, sf_dir)
+    if only is not None:
+        pages = pages.join(only.select("path"), "path", "left_semi")
+    return extract.latest_per_path(extract.extract_metadata(pages))
 
 
 def audited(spark: SparkSession, sf_dir: str) -> DataFrame:
     search = SearchFacts(spark, sf_dir)
     zero = search.landed_zero_click()
-    pages = page_meta(spark, sf_dir, search.query_page)
+    pages = page_meta(spark, sf_dir)
     return audit.audit_pages(audit.with_context(pages, zero, search.ranked(zero)), SITE)
 
 
@@ -233,9 +255,9 @@ def rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.join(docs, "page_id").selectExpr(
         f"{PATH} AS path",
         """CASE WHEN page_id % 2 = 1 THEN '学科标题，' ELSE '' END
-           || substr(text, int(page_id % 23) + 1, int(15 + page_id % 50)) AS title""",
+           || text AS title""",
         """CASE WHEN page_id % 3 = 1 THEN '说明文字。' ELSE '' END
-           || substr(text, int(page_id % 23) + 1, int(60 + (page_id * 7) % 200)) AS description""",
+           || text AS description""",
         "CASE WHEN page_id % 4 <> 0 THEN 'term ' || page_id END AS keywords",
         "'Term ' || page_id AS term_name",
         "'Subject ' || (page_id % 5) AS subject",

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from serplens import params, schemas
 from serplens.functions import jsonld
@@ -18,9 +20,11 @@ from serplens.sources.storage import discard_at_exit, materialize, scratch_path
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
-FILTERED_SITE = replace(d.SITE, page_filter="/COURSE/", exclude_patterns=("keyword/1", r"blog\."))
+#: The last pattern refers back to its own group.
+FILTERED_SITE = replace(
+    d.SITE, page_filter="/GLOSSARY/", exclude_patterns=("(k)eyword/3", r"blog\.", r"d/(\d)\1"))
 RANGE, BATCH = (6, 15), 4
-TOP_PAGES = 25
+TOP_PAGES = 5
 NEW_DATE = "2024-02-01"
 
 
@@ -105,6 +109,31 @@ def csv_roundtrip(spark, sf_dir):
     return back.toDF(*schemas.ZERO_CLICK.names)
 
 
+@query
+def keyed_json_import(spark, sf_dir):
+    """Page metadata as one object keyed by path, indented by two, read back entry by entry."""
+    path = scratch_path(spark, "page_meta_keyed")
+    meta = d.page_meta(spark, sf_dir).select(*schemas.PAGE_META.names)
+    fields = [c for c in meta.columns if c != "path"]
+
+    def json(column: str) -> Column:
+        """A value as JSON: what stands between ``{"v":`` and ``}``."""
+        text = F.to_json(F.struct(F.col(column).alias("v")))
+        return F.when(F.col(column).isNull(), "null").otherwise(F.substr(text, F.lit(6), F.length(text) - 6))
+
+    values = [F.concat(F.lit(f'    "{c}": '), json(c)) for c in fields]
+    entry = F.concat(F.lit("  "), json("path"), F.lit(": {\n"), F.concat_ws(",\n", *values), F.lit("\n  }"))
+    last = meta.agg(F.max("path")).first()[0]
+    lines = meta.select(F.lit(1).alias("part"), "path", F.concat(
+        entry, F.when(F.col("path") == last, "").otherwise(",")).alias("line"))
+    ends = spark.createDataFrame([(0, "", "{"), (2, "", "}")], "part int, path string, line string")
+    # The format is a single object, so the fixture is a single file.
+    lines.unionByName(ends).coalesce(1).sortWithinPartitions("part", "path").select("line").write.text(path)
+    discard_at_exit(spark, path)
+    return _flat_meta(reports.import_keyed_json(
+        spark, path, T.StructType([f for f in schemas.PAGE_META.fields if f.name != "path"])))
+
+
 @query
 def json_roundtrip(spark, sf_dir):
     """Page metadata as one JSON row per path, read back."""
@@ -228,12 +257,14 @@ def page_metadata(spark, sf_dir):
 
 
 def _flat_meta(meta: DataFrame) -> DataFrame:
+    """Every value of the metadata, lists as text."""
     links = F.transform("alternates", lambda a: F.concat_ws("@", a["href"], a["hreflang"]))
+    plain = [f.name for f in schemas.META_VALUES.fields if f.dataType.simpleString() == "string" and f.name != "error"]
     return meta.select(
-        "path", "title", "meta_description", "meta_keywords", "meta_robots",
-        "og_title", "twitter_card", "canonical",
+        "path", *plain,
         F.array_join(links, " ").alias("alternates"),
         F.when(F.col("schema_json_ld").isNotNull(), F.size("schema_json_ld")).cast("long").alias("blocks"),
+        F.array_join("schema_json_ld", " ; ").alias("schema_text"),
         F.array_join("h1", " | ").alias("h1"),
         "error",
     )
@@ -247,8 +278,8 @@ def page_metadata_full(spark, sf_dir):
 @query
 def crawl_report(spark, sf_dir):
     search = d.SearchFacts(spark, sf_dir)
-    pages = d.page_meta(spark, sf_dir, search.query_page)
-    return crawl.crawl_report(pages, search.ranked(search.zero_click()), d.SITE.base_url)
+    ranked = materialize(search.ranked(search.zero_click()), "ranked")
+    return crawl.crawl_report(d.page_meta(spark, sf_dir, ranked), ranked, d.SITE.base_url)
 
 
 @query
@@ -259,7 +290,7 @@ def metadata_coverage(spark, sf_dir):
 @query
 def missing_samples(spark, sf_dir):
     search = d.SearchFacts(spark, sf_dir)
-    meta = d.page_meta(spark, sf_dir, search.query_page).select("path", "title", "meta_description")
+    meta = d.page_meta(spark, sf_dir).select("path", "title", "meta_description")
     ranked = search.ranked(search.zero_click()).select("path", "priority_rank")
     pages = materialize(meta.join(ranked, "path", "left"), "ranked_meta")
     return crawl.missing_samples(pages)
@@ -277,7 +308,7 @@ def _with_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with their top queries."""
     search = d.SearchFacts(spark, sf_dir)
     queries = audit.coverage_queries(search.zero_click())
-    return d.page_meta(spark, sf_dir, search.query_page).join(queries, "path", "left")
+    return d.page_meta(spark, sf_dir).join(queries, "path", "left")
 
 
 @query
@@ -331,27 +362,43 @@ def audit_summary(spark, sf_dir):
 # --- update ------------------------------------------------------------------
 
 class _Rewrite:
-    """Inputs of the update queries; the ones read repeatedly are written once."""
+    """Inputs of the update queries; the ones read repeatedly are written once.
+
+    Only the targets' pages are parsed and audited.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
         search = d.SearchFacts(spark, sf_dir)
         self.zero = search.landed_zero_click()
-        self.targets = search.ranked(self.zero).withColumn(
-            "batch_id", F.floor((F.col("priority_rank") - 1) / params.REWRITE_BATCH_SIZE).cast("long")
-        )
-        meta = d.page_meta(spark, sf_dir, search.query_page).where(F.col("error").isNull())
-        self.pages = materialize(meta.select(*schemas.PAGE_META.names), "page_meta")
-        self.rewritten = d.rewritten(spark, sf_dir)
+        ranked = search.ranked(self.zero)
+        self.targets = materialize(ranked.withColumn(
+            "batch_id", F.floor((F.col("priority_rank") - 1) / params.REWRITE_BATCH_SIZE).cast("long")), "targets")
+
+    def _meta(self, only: DataFrame | None = None) -> DataFrame:
+        meta = d.page_meta(self.spark, self.sf_dir, only).where(F.col("error").isNull())
+        return meta.select(*schemas.PAGE_META.names)
+
+    @cached_property
+    def pages(self) -> DataFrame:
+        """Metadata of the targets."""
+        return materialize(self._meta(self.targets), "page_meta")
+
+    def all_pages(self) -> DataFrame:
+        return self._meta()
 
     def audited(self, pages: DataFrame) -> DataFrame:
         queries = audit.coverage_queries(self.zero)
         return audit.audit_pages(pages.join(queries, "path", "left"), d.SITE)
 
     def context(self) -> DataFrame:
-        return update.rewrite_context(self.targets, self.pages, self.audited(self.pages), self.zero)
+        return update.rewrite_context(self.targets, self.pages, self.zero, self.audited(self.pages))
 
+    @cached_property
     def updated(self) -> DataFrame:
-        return update.apply_rewrites(self.context(), self.rewritten, d.SITE, F.lit(NEW_DATE))
+        context = update.rewrite_context(self.targets, self.pages, self.zero)
+        rewritten = d.rewritten(self.spark, self.sf_dir)
+        return materialize(update.apply_rewrites(context, rewritten, d.SITE, F.lit(NEW_DATE)), "updated")
 
 
 @query
@@ -371,16 +418,17 @@ def rewrite_skipped(spark, sf_dir):
 
 @query
 def metadata_update(spark, sf_dir):
-    return _Rewrite(spark, sf_dir).updated().select(
+    return _Rewrite(spark, sf_dir).updated.select(
         "path", "title", "meta_description", "meta_keywords", "og_title", "og_description", "og_url",
-        "og_type", "og_image", "twitter_card", "twitter_title", "twitter_description", "canonical",
+        "og_type", "og_image", "og_site_name", "twitter_card", "twitter_title", "twitter_description",
+        "twitter_image", "twitter_site", "canonical",
     )
 
 
 @query
 def schema_enrichment(spark, sf_dir):
     """The Article block of every rewritten page, field by field."""
-    updated = _Rewrite(spark, sf_dir).updated()
+    updated = _Rewrite(spark, sf_dir).updated
     found = updated.select("path", jsonld.objects(F.col("schema_json_ld")).alias("objects"))
     article = F.get(F.filter("objects", lambda o: jsonld.has_type(o, "Article")), F.lit(0))
     one = found.select("path", F.size("objects").cast("long").alias("blocks"), article.alias("o"))
@@ -403,7 +451,7 @@ def schema_enrichment(spark, sf_dir):
 @query
 def metadata_merge(spark, sf_dir):
     run = _Rewrite(spark, sf_dir)
-    merged = update.merge_metadata(run.pages, run.updated())
+    merged = update.merge_metadata(run.all_pages(), run.updated)
     return merged.select("path", "title", "meta_description", "og_title", "og_type")
 
 
@@ -417,9 +465,9 @@ def metadata_backup(spark, sf_dir):
 def update_stats(spark, sf_dir):
     run = _Rewrite(spark, sf_dir)
     skipped = update.skipped_targets(run.targets, run.pages)
-    return update.update_statistics(run.audited(run.pages), run.audited(run.updated()), skipped)
+    return update.update_statistics(run.audited(run.pages), run.audited(run.updated), skipped)
 
 
 @query
 def update_acceptance(spark, sf_dir):
-    return update.acceptance(_Rewrite(spark, sf_dir).updated(), d.SITE)
+    return update.acceptance(_Rewrite(spark, sf_dir).updated, d.SITE)

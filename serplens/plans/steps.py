@@ -117,7 +117,7 @@ def prepare_rewrite(spark: SparkSession, site: Site, base: str, selection: str |
     _, meta, zero, ranked = _inputs(spark, site, base)
     targets = update.rewrite_targets(ranked, selection, batch_size)
     usable = meta.where(F.col("error").isNull())
-    context = update.rewrite_context(targets, usable, _audited(site, usable, zero, ranked), zero)
+    context = update.rewrite_context(targets, usable, zero, _audited(site, usable, zero, ranked))
     return context, update.skipped_targets(targets, usable)
 
 

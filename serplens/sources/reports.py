@@ -1,15 +1,15 @@
-"""CSV reports, JSON rows and the legacy single-object metadata file."""
+"""CSV reports, JSON rows and the import of keyed metadata files."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from serplens import schemas
 
-#: A legacy file is one JSON object, hence one value in one task.
-LEGACY_MAX_BYTES = 256 * 1024 * 1024
+#: Line breaks in a text and how they are written, the escape character first.
+_ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
 
 
 def with_report_headers(df: DataFrame) -> DataFrame:
@@ -28,22 +28,52 @@ def without_report_headers(schema: T.StructType) -> T.StructType:
     ])
 
 
+def _escaped(value: Column) -> Column:
+    for plain, written in _ESCAPES:
+        value = F.replace(value, F.lit(plain), F.lit(written))
+    return value
+
+
+def _unescaped(value: Column) -> Column:
+    """Undo ``_escaped``; a doubled escape character is set aside meanwhile."""
+    (backslash, doubled), *breaks = _ESCAPES
+    value = F.replace(value, F.lit(doubled), F.lit("\0"))
+    for plain, written in breaks:
+        value = F.replace(value, F.lit(written), F.lit(plain))
+    return F.replace(value, F.lit("\0"), F.lit(backslash))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header and doubled quotes, one part file per partition."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """CSV with a header and doubled quotes, one part file per partition.
+
+    Line breaks inside texts are written as ``\\n`` and ``\\r``, a backslash as
+    two, so that a record is a line and large files can be split.
+    """
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    df.select(*(_escaped(F.col(c)).alias(c) if c in texts else F.col(c) for c in df.columns)) \
+        .write.mode(mode).option("header", True).option("escape", '"').csv(path)
+
+
+def _integer(text: Column, name: str) -> Column:
+    """Exact value of an integer written as ``12`` or ``12.0``; anything else fails the job."""
+    decimal = text.try_cast("decimal(38,10)")
+    exact = F.coalesce(text.try_cast("bigint"), F.when(decimal == F.floor(decimal), decimal.try_cast("bigint")))
+    wrong = F.raise_error(F.concat(F.lit(f"{name} is no integer: "), text))
+    return F.when((text.isNull()) | (text == ""), None).when(exact.isNull(), wrong).otherwise(exact)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             multi_line: bool = True) -> DataFrame:
+             multi_line: bool = False, escaped: bool = True) -> DataFrame:
     """CSV with a header, a byte-order mark or not; empty text stays text.
 
-    ``null`` and ``NA`` are ordinary text, and integers may be written as ``12.0``.
-    Quoted line breaks need ``multi_line``, which makes each file one task; turn
-    it off to split large files that are known to hold one record per line.
+    ``null`` and ``NA`` are ordinary text. Integers are read exactly and may be
+    written as ``12.0``; a malformed one raises. For files of other tools:
+    ``multi_line`` reads quoted line breaks, at the price of one task per file,
+    and ``escaped=False`` takes backslashes as they are.
     """
     integral = [f.name for f in schema.fields if isinstance(f.dataType, T.LongType)]
     as_written = T.StructType([
-        T.StructField(f.name, T.DoubleType() if f.name in integral else f.dataType)
+        T.StructField(f.name, T.StringType() if f.name in integral else f.dataType)
         for f in schema.fields
     ])
     df = (
@@ -52,9 +82,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
         .option("nullValue", "\u0000").option("emptyValue", "")
         .csv(path)
     )
-    return df.select(*(
-        F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields
-    ))
+
+    def value(f: T.StructField) -> Column:
+        if f.name in integral:
+            return _integer(F.col(f.name), f.name)
+        return _unescaped(F.col(f.name)) if escaped and isinstance(f.dataType, T.StringType) else F.col(f.name)
+
+    return df.select(*(value(f).alias(f.name) for f in schema.fields))
 
 
 def write_rows(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -69,13 +103,18 @@ def read_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 def import_keyed_json(spark: SparkSession, path: str, values: T.StructType) -> DataFrame:
     """Rows of a ``{path: {...}}`` file, keyed by ``path``.
 
-    For one-off imports of files other tools left behind. Such a file cannot be
-    split, so its size is checked first; the engine itself writes JSON Lines.
+    Such files are written with an indent of two, and a JSON text holds no raw
+    line break: so the end of an entry, with its comma, separates records, and a
+    file of any size is split between tasks. A file without line breaks is one
+    record. A record that is no JSON fails the job.
     """
-    files = spark.read.format("binaryFile").load(path)
-    largest = files.agg(F.max("length")).first()[0] or 0
-    if largest > LEGACY_MAX_BYTES:
-        raise ValueError(f"{path} holds a single object of {largest} bytes; convert it to JSON Lines")
-    whole = spark.read.text(path, wholetext=True)
-    entries = whole.select(F.explode(F.from_json("value", "map<string,string>")).alias("path", "value"))
-    return entries.select("path", F.from_json("value", values).alias("v")).select("path", "v.*")
+    record = F.col("value")
+    opened = record.startswith("{")
+    closed = record.rlike(r"\n\}\s*$") | (opened & ~record.startswith("{\n"))
+    whole = F.concat(F.when(opened, "").otherwise("{"), record, F.when(closed, "").otherwise("}}"))
+    strict = {"mode": "FAILFAST"}
+    entries = (
+        spark.read.option("lineSep", "\n  },\n").text(path).where(F.trim("value") != "")
+        .select(F.explode(F.from_json(whole, "map<string,string>", strict)).alias("path", "value"))
+    )
+    return entries.select("path", F.from_json("value", values, strict).alias("v")).select("path", "v.*")

@@ -2,12 +2,11 @@
 
 Executors may be lost at any time, so an intermediate result that several
 branches read is written to storage all of them can reach. The folder is the
-one the session names in ``spark.checkpoint.dir``.
+one the session names in ``spark.checkpoint.dir``, or else one in its warehouse.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, without a trailing slash."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    local = tempfile.mkdtemp(prefix="serplens-")
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -46,25 +39,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     discard_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df`` in the shared folder."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
-
-
-def spread_small(scan: DataFrame) -> DataFrame:
-    """Give every core a share of a scan that is too small to be split that far.
-
-    For work that is costly per row. At most one split's worth of data per core
-    is shuffled; a larger scan stays where it is read.
-    """
-    spark = scan.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return scan.repartition(cores) if size < cores * split else scan

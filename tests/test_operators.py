@@ -11,7 +11,9 @@ from serplens.operators import audit, crawl, facts, ranking, update
 from serplens.params import Site
 from serplens.plans import derived
 
-SITE = Site(site_url="sc-domain:example.com", base_url="https://www.example.com/", brand_suffix=" | B")
+TYPES = (("Course", ("/course/",)),)
+CONTENT = (("keyword", "/course/keyword/"), ("course_article", "/course/"))
+SITE = Site("sc-domain:example.com", "https://www.example.com/", TYPES, CONTENT, brand_suffix=" | B")
 WWW = "https://www.example.com"
 
 
@@ -66,7 +68,7 @@ def test_top_queries_are_cut_before_the_shuffle(search):
 def test_filters_come_before_totals(spark):
     rows = [("a", WWW + "/Keep/1", 1, 5, 0.0, 1.0), ("b", WWW + "/keep/2", 0, 5, 0.0, 1.0),
             ("c", WWW + "/keep/skip", 0, 5, 0.0, 1.0), ("d", WWW + "/other", 0, 5, 0.0, 1.0)]
-    site = Site(site_url=WWW, base_url=WWW, page_filter="/KEEP/", exclude_patterns=("sk.p", "nothing"))
+    site = Site(WWW, WWW, TYPES, CONTENT, page_filter="/KEEP/", exclude_patterns=("sk.p", "nothing"))
     df = spark.createDataFrame(rows, schemas.SEARCH_QUERY_PAGE)
     assert [r["path"] for r in facts.zero_click_report(df, site).collect()] == ["/keep/2"]
 

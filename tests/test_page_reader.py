@@ -1,11 +1,12 @@
 """Metadata extraction on literal documents."""
 
 import random
+import time
 
 import pytest
 
 from serplens import schemas
-from serplens.operators import extract
+from serplens.operators import extract, page_reader
 from serplens.operators.page_reader import NO_HEAD, read_page
 
 
@@ -131,9 +132,12 @@ def test_columns_follow_the_schema(spark):
 
 
 def test_latest_per_path(spark):
-    rows = [("/a", 1, "x"), ("/a", 3, "z"), ("/a", 2, "y"), ("/b", 1, "w")]
-    df = spark.createDataFrame(rows, "path string, fetched_at int, title string")
+    rows = [("/a", 1, 200, "x"), ("/a", 3, 404, None), ("/a", 3, 200, "z"), ("/a", 2, 200, "y"), ("/b", 1, 200, "w")]
+    df = spark.createDataFrame(rows, "path string, fetched_at int, status int, title string")
     assert sorted(r["title"] for r in extract.latest_per_path(df).collect()) == ["w", "z"]
+    ties = spark.createDataFrame([("/a", 1, 200, str(i)) for i in range(50)], df.schema)
+    picked = {extract.latest_per_path(ties.repartition(n)).first()["title"] for n in (1, 3, 7)}
+    assert len(picked) == 1
 
 
 def test_tag_soup_never_loses_a_page(spark):
@@ -150,3 +154,26 @@ def test_tag_soup_never_loses_a_page(spark):
         assert (row["error"] is None) == (row["h1"] is not None)
         if "<head" not in text:
             assert row["error"] is not None
+
+
+def test_numbers_that_stricter_readers_refuse(spark):
+    from pyspark.sql import functions as F
+
+    deep = "[" * 900 + "]" * 900
+    texts = ['{"x":1e400}', '{"x":-1e400,"y":NaN}', '{"x":' + "9" * 60 + "}", '{"x":' + "9" * 6000 + "}",
+             '{"x":' + deep + "}", '{"x":1.5,"x":2}']
+    blocks = [page_reader.valid_json(t) for t in texts]
+    assert blocks[:2] == ['{"x": null}', '{"x": null, "y": null}'] and blocks[-1] == '{"x": 2}'
+    df = spark.createDataFrame([(b,) for b in blocks], "b string")
+    assert df.where(F.try_parse_json("b").isNull()).count() == 0
+
+
+def test_unclosed_tags_take_linear_time():
+    def seconds(n):
+        text = "<html><head></head><body>" + "<div>a</i>" * n
+        start = time.process_time()
+        page_reader.read_page(text)
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(80_000) < 30 * max(seconds(8_000), 0.01)

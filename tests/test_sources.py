@@ -36,7 +36,8 @@ def test_csv_of_other_tools(spark, tmp_path):
     text = '路径,查询词,展示,排名,页面总展示,页面总点击\r\n/a,"say ""hi"", ok",12,1.5,12.0,0\r\n/b,null,1,2.0,1,0\r\n/c,"two\nlines",1,2.0,1,0\r\n/d,"",1,2,1,0\r\n'
     (tmp_path / "z.csv").write_bytes(codecs.BOM_UTF8 + text.encode())
     schema = reports.without_report_headers(schemas.ZERO_CLICK)
-    df = reports.read_csv(spark, str(tmp_path / "z.csv"), schema).toDF(*schemas.ZERO_CLICK.names)
+    df = reports.read_csv(spark, str(tmp_path / "z.csv"), schema, multi_line=True, escaped=False) \
+        .toDF(*schemas.ZERO_CLICK.names)
     assert [tuple(r) for r in df.orderBy("path").collect()] == [
         ("/a", 'say "hi", ok', 12, 1.5, 12, 0), ("/b", "null", 1, 2.0, 1, 0),
         ("/c", "two\nlines", 1, 2.0, 1, 0), ("/d", "", 1, 2.0, 1, 0)]
@@ -50,18 +51,39 @@ def test_report_headers(spark):
         "路径", "平均排名", "排名段", "优先级", "点击", "展示", "CTR", "完整URL", "页面类型", "分群"]
 
 
-def test_legacy_metadata_file(spark, tmp_path, monkeypatch):
+def test_csv_keeps_texts_and_large_integers(spark, tmp_path):
+    texts = ["two\nlines", "a\\nb", "\\", "\r\n", "\\\n", 'say "x", y', ""]
+    rows = [(t, 9007199254740993 - i) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "t string, n bigint")
+    reports.write_csv(df, str(tmp_path / "c"))
+    back = reports.read_csv(spark, str(tmp_path / "c"), df.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+
+
+@pytest.mark.parametrize("text", ["x1", "1.5", "12 000"])
+def test_csv_refuses_malformed_integers(spark, tmp_path, text):
+    (tmp_path / "n.csv").write_text(f"n\n1\n{text}\n")
+    with pytest.raises(Exception, match="n is no integer"):
+        reports.read_csv(spark, str(tmp_path / "n.csv"), spark.range(0).withColumnRenamed("id", "n").schema).collect()
+
+
+@pytest.mark.parametrize("indent", [2, None])
+def test_keyed_metadata_file(spark, tmp_path, indent):
     file = tmp_path / "m.json"
-    file.write_text(json.dumps({
-        "/a": {"title": "é \"x\"", "alternates": [{"href": "/x", "hreflang": None}], "h1": ["h"]},
+    pages = {
+        "/a": {"title": "é \"x\"\n  },\n", "alternates": [{"href": "/x", "hreflang": None}], "h1": ["h"]},
+        "/none": {},
         "/b": {"error": "HTTP 404"},
-    }, ensure_ascii=False, indent=2))
+        "/c": {"schema_json_ld": ["{}", "[{\"a\": {}}]"]},
+    }
+    file.write_text(json.dumps(pages, ensure_ascii=False, indent=indent))
     rows = {r["path"]: r for r in reports.import_keyed_json(spark, str(file), schemas.META_VALUES).collect()}
-    assert rows["/a"]["title"] == 'é "x"' and rows["/a"]["alternates"][0]["href"] == "/x"
+    assert sorted(rows) == sorted(pages)
+    assert rows["/a"]["title"] == pages["/a"]["title"] and rows["/a"]["alternates"][0]["href"] == "/x"
     assert rows["/b"]["error"] == "HTTP 404" and rows["/b"]["h1"] is None
-    monkeypatch.setattr(reports, "LEGACY_MAX_BYTES", 10)
-    with pytest.raises(ValueError):
-        reports.import_keyed_json(spark, str(file), schemas.META_VALUES)
+    assert rows["/c"]["schema_json_ld"] == pages["/c"]["schema_json_ld"]
+    file.write_text(json.dumps({}, indent=indent))
+    assert reports.import_keyed_json(spark, str(file), schemas.META_VALUES).count() == 0
 
 
 def test_snapshots(spark, tmp_path):
@@ -84,9 +106,8 @@ def test_snapshots(spark, tmp_path):
 
 
 def test_shared_folder_is_the_named_one(spark):
-    folder = storage.shared_dir(spark)
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    assert folder == named.rstrip("/") == storage.shared_dir(spark)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert storage.shared_dir(spark) == (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def test_steps_end_to_end(spark, tiny, tmp_path):
@@ -127,7 +148,7 @@ def test_steps_end_to_end(spark, tiny, tmp_path):
 
 
 def test_steps_without_zero_click_pages(spark, tmp_path):
-    rows = [("q", "https://www.example.com/course/x", 1, 2, 0.5, 1.0)]
+    rows = [("q", "https://www.example.com/guides/x", 1, 2, 0.5, 1.0)]
     query_page = spark.createDataFrame(rows, schemas.SEARCH_QUERY_PAGE)
     steps.fetch(derived.SITE, str(tmp_path), query_page, facts.roll_up(query_page, ["page"]), date(2026, 1, 1))
     summary = steps.rank(spark, derived.SITE, str(tmp_path))
