@@ -127,6 +127,7 @@ def with_item_digest(found: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
     """Rows of ``docs`` that share no window with the benchmark; all columns stay."""
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
-    found = hits(docs, benchmark, window, k).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    found = hits(docs, benchmark, window, k).select(
+        F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash"))
+    same = docs["doc_id"].eqNullSafe(found["found_id"]) & (F.xxhash64(docs["text"]) == found["found_hash"])
     return docs.join(found, same, "left_anti")

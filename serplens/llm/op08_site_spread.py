@@ -32,8 +32,9 @@ def normal(line: Column) -> Column:
 
 def line_sites(docs: DataFrame, site: str) -> DataFrame:
     """(doc_id, text_hash, site, place, hash) of every line with a word; a null site is one site."""
+    # Sketches skip empty strings, so a null site is a dash; others begin with an equals sign.
     # Outer, so that the optimizer does not split every text once more to filter on its lines' number.
-    lines = keyed(docs, F.coalesce(F.concat(F.lit("="), F.col(site).cast("string")), F.lit("")).alias("site")) \
+    lines = keyed(docs, F.coalesce(F.concat(F.lit("="), F.col(site).cast("string")), F.lit("-")).alias("site")) \
         .select("doc_id", "text_hash", "site", F.posexplode_outer(F.split("text", "\n", -1)).alias("place", "line"))
     return lines.withColumn("line", normal(F.col("line"))).where("line <> ''") \
         .select("doc_id", "text_hash", "site", "place", F.xxhash64("line").alias("hash"))

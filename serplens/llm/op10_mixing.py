@@ -73,10 +73,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = M
     inside. Keys depend on doc_id and ``seed`` only, so reruns agree; equal keys
     (repeated ids, null ids) go by size. Null sources form one source. A source
     without words has target 0; an empty table gives no rows. Columns named like
-    the added ones are replaced.
+    the added ones, or ``_src``, ``_key``, ``_range``, ``_offset``, ``_epochs``,
+    ``_cut`` or ``_before``, are replaced.
     """
-    added = ("source_size", "target", "taken")
-    keyed = docs.drop(*added).withColumns({
+    working = ("_src", "_key", "_range", "_offset", "_epochs", "_cut", "_before")
+    keyed = docs.drop("source_size", "target", "taken", *working).withColumns({
         "_src": F.coalesce(F.concat(F.lit("="), "source"), F.lit("")),
         "_key": F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))),
     }).withColumn("_range", F.substring("_key", 1, RANGE_DIGITS))
@@ -91,15 +92,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = M
     size = F.greatest("source_size", F.lit(1))
     plan = ranges.withColumn("offset", F.coalesce(F.sum("range_size").over(earlier), F.lit(0))) \
         .join(targets, F.col("_src") == F.col("src")).select(
-            "_src", "_range", "offset", "source_size", "target",
-            F.floor(budget / size).alias("epochs"), (budget % size).alias("cut"))
+            "_src", "_range", F.col("offset").alias("_offset"), "source_size", "target",
+            F.floor(budget / size).alias("_epochs"), (budget % size).alias("_cut"))
     inside = Window.partitionBy("_src", "_range").orderBy("_key", "size") \
         .rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
+    before = F.col("_offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     return keyed.join(plan, ["_src", "_range"]).withColumn("_before", before).withColumn(
-        "taken", F.col("epochs") * F.col("size")
-        + F.greatest(F.lit(0), F.least(F.col("size"), F.col("cut") - F.col("_before")))
-    ).drop("_src", "_key", "_range", "_before", "offset", "epochs", "cut")
+        "taken", F.col("_epochs") * F.col("size")
+        + F.greatest(F.lit(0), F.least(F.col("size"), F.col("_cut") - F.col("_before")))
+    ).drop(*working)
 
 
 def repeat_taken(mixed: DataFrame) -> DataFrame:
