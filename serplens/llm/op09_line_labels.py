@@ -14,7 +14,6 @@ content wherever they stand.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,7 +39,12 @@ _SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 _CLASSES = (("symbols", b"#*$%&|<>", (0.0, 0.02, 0.08)), ("bangs", b"!?", (0.0, 0.05)),
             ("digits", b"0123456789", (0.0, 0.1, 0.3)), ("ends", b".,;:", (0.0, 0.05)))
 _UPPER = bytes(range(65, 91))
-_LETTER = re.compile(rb"[A-Za-z\x80-\xff]")
+_LETTERS = bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256))
+
+
+def _share(line: bytes, members: bytes, of: int) -> float:
+    """Bytes of ``line`` among ``members``, as a share of ``of``."""
+    return (len(line) - len(line.translate(None, members))) / of
 
 
 def _level(share: float, bounds: tuple[float, ...]) -> int:
@@ -58,9 +62,8 @@ def line_features(line: bytes, words: list[bytes], seen: bool, place: int) -> li
     size = sum(map(len, words))
     values = []
     for _, members, bounds in _CLASSES:
-        values.append(_level((len(line) - len(line.translate(None, members))) / size, bounds))
-    letters = len(_LETTER.findall(line)) or 1
-    values.append(_level((len(line) - len(line.translate(None, _UPPER))) / letters, (0.15, 0.4, 0.8)))
+        values.append(_level(_share(line, members, size), bounds))
+    values.append(_level(_share(line, _UPPER, _share(line, _LETTERS, 1) or 1), (0.15, 0.4, 0.8)))
     values.append(_level(len(words), (1, 4, 10, 30, 100)))
     values.append(_level(1 - len(set(words)) / len(words), (0.25, 0.5, 0.75)))
     values.append(int(seen))
