@@ -93,14 +93,20 @@ def audit_rows(audited: DataFrame) -> DataFrame:
 
 def audit_report(audited: DataFrame) -> DataFrame:
     """Audit rows by rank; unranked pages come last, also behind rank 999."""
-    return audit_rows(audited.orderBy(F.asc_nulls_last("priority_rank"), "path"))
+    return audit_rows(audited.orderBy(*audit_order()))
+
+
+def audit_order() -> list[Column]:
+    return [F.asc_nulls_last("priority_rank"), F.asc("path")]
 
 
 def issue_breakdown(audited: DataFrame) -> DataFrame:
-    """Occurrences of each issue over all pages, most frequent first."""
+    """Occurrences of each issue and their number per hundred pages, most frequent first."""
+    pages = audited.agg(F.count(F.lit(1)).alias("n")).scalar()
     return (
         audited.select(F.explode("issues").alias("issue"))
         .groupBy("issue").agg(F.count(F.lit(1)).alias("occurrences"))
+        .withColumn("share_pct", round_exact(percent_of(F.col("occurrences"), pages), 1))
         .orderBy(F.desc("occurrences"), "issue")
     )
 
@@ -120,7 +126,8 @@ def audit_summary(audited: DataFrame) -> DataFrame:
         *lengths("desc"), *lengths("title"),
     )
     total = F.col("total_pages")
-    out = [total, F.col("pages_with_issues"), (total - F.col("pages_with_issues")).alias("pages_clean")]
+    out = [total, F.col("pages_with_issues"), (total - F.col("pages_with_issues")).alias("pages_clean"),
+           round_exact(percent_of(F.col("pages_with_issues"), total), 1).alias("pages_with_issues_pct")]
     for prefix in ("desc", "title"):
         count, chars = F.col(f"{prefix}_too_long_count"), F.col(f"{prefix}_total_length")
         out += [

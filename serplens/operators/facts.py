@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from serplens import params
@@ -87,12 +87,18 @@ def zero_click_rows(query_page: DataFrame, site: Site, top_n: int = params.ZERO_
     )
 
 
+def zero_click_order() -> list[Column]:
+    """Order of the zero-click report: pages by total impressions, each with its top queries."""
+    return [F.desc("page_impressions"), F.desc("impressions"), F.asc("page"), F.asc("query")]
+
+
+def ranking_order() -> list[Column]:
+    return [F.desc("impressions"), F.asc("path")]
+
+
 def zero_click_report(query_page: DataFrame, site: Site, top_n: int = params.ZERO_CLICK_TOP_N) -> DataFrame:
     """Zero-click pages by total impressions, each with its top queries."""
-    ordered = zero_click_rows(query_page, site, top_n).orderBy(
-        F.desc("page_impressions"), F.desc("impressions"), "page", "query",
-    )
-    return ordered.drop("page")
+    return zero_click_rows(query_page, site, top_n).orderBy(*zero_click_order()).drop("page")
 
 
 def label_pages(pages: DataFrame, site: Site) -> DataFrame:
@@ -135,4 +141,4 @@ def ranking_rows(pages: DataFrame, site: Site) -> DataFrame:
 
 def ranking_report(pages: DataFrame, site: Site) -> DataFrame:
     """Ranking rows by impressions."""
-    return ranking_rows(pages, site).orderBy(F.desc("impressions"), "path")
+    return ranking_rows(pages, site).orderBy(*ranking_order())

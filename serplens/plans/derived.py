@@ -42,6 +42,8 @@ SITE = Site(
 OTHER_ORIGIN = "https://blog.example.com"
 WINDOW = (date(2024, 1, 5), date(2024, 1, 24))
 RUN_DATE = date(2024, 2, 1)
+#: Day of a fetch whose window of 28 days leaves out the newest events.
+AS_OF = date(2024, 1, 27)
 
 #: Path prefix by ``page_id % 11``.
 PREFIXES = (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import timedelta
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from serplens import params, schemas
 from serplens.functions import jsonld
 from serplens.operators import audit, crawl, extract, facts, ranking, update
 from serplens.plans import derived as d
+from serplens.plans import steps
 from serplens.sources import landing, reports, snapshots
 from serplens.sources.storage import discard_at_exit, materialize, scratch_path
 
@@ -86,6 +88,22 @@ def snapshot_latest(spark, sf_dir):
     return facts.roll_up(latest, ["filter_tag", "run_date", "page"])
 
 
+@query
+def snapshot_mismatch(spark, sf_dir):
+    """Whether two tables have their newest run on one day; the second depends on the number of pages."""
+    base = scratch_path(spark, "runs")
+    pages = d.table(spark, sf_dir, "pages").select("page_id")
+    other = d.RUN_DATE + timedelta(days=pages.count() % 2)
+    rows = snapshots.write_snapshot(pages, base, "one", "all", d.RUN_DATE)
+    snapshots.write_snapshot(pages, base, "two", "all", other)
+    discard_at_exit(spark, base)
+    try:
+        same = snapshots.common_run(spark, base, ["one", "two"], "all") == d.RUN_DATE
+    except snapshots.SnapshotMismatch:
+        same = False
+    return pages.agg(F.lit(same).alias("same_run"), F.lit(rows).cast("long").alias("pages"))
+
+
 @query
 def table_roundtrip(spark, sf_dir):
     """The ranking report as a dated, tagged partition of a table, read back."""
@@ -180,6 +198,34 @@ def page_segments(spark, sf_dir):
     return facts.ranking_report(d.SearchFacts(spark, sf_dir).page, d.SITE)
 
 
+@query
+def zero_click_order(spark, sf_dir):
+    """The place of every row in the zero-click report, kept as a column."""
+    rows = facts.zero_click_rows(d.SearchFacts(spark, sf_dir).query_page, d.SITE)
+    return ranking.with_global_rank(rows, facts.zero_click_order(), "report_rank").select("report_rank", "path", "query")
+
+
+@query
+def ranking_order(spark, sf_dir):
+    rows = d.SearchFacts(spark, sf_dir).ranking()
+    return ranking.with_global_rank(rows, facts.ranking_order(), "report_rank").select("report_rank", "path")
+
+
+@query
+def landed_fetch(spark, sf_dir):
+    """The zero-click report of a run that starts from landed responses."""
+    keys = F.array("query", "page").alias("keys")
+    metrics = [F.col(c) for c in ("clicks", "impressions", "ctr", "position")]
+    log = d.search_log(spark, sf_dir).select("run_date", F.array(F.struct(keys, *metrics)).alias("rows"))
+    path, base = scratch_path(spark, "landed"), scratch_path(spark, "run")
+    log.write.json(path)
+    landed = spark.read.schema(T.StructType([T.StructField("run_date", T.DateType()), *schemas.RESPONSE.fields])).json(path)
+    steps.fetch_landed(d.SITE, base, landed, d.AS_OF, d.RUN_DATE)
+    for folder in (path, base):
+        discard_at_exit(spark, folder)
+    return snapshots.read_snapshot(spark, base, "zero_click", d.SITE.filter_tag, d.RUN_DATE, schemas.ZERO_CLICK)
+
+
 @query
 def fetch_summary(spark, sf_dir):
     """Rows in and out of the fetch run, in one row."""
@@ -344,6 +390,15 @@ def audit_report(spark, sf_dir):
     return audit.audit_report(d.audited(spark, sf_dir))
 
 
+@query
+def audit_order(spark, sf_dir):
+    """The place of every page in the audit report; only path and rank are sorted."""
+    search = d.SearchFacts(spark, sf_dir)
+    ranked = search.ranked(search.landed_zero_click()).select("path", "priority_rank")
+    rows = d.page_meta(spark, sf_dir).select("path").join(ranked, "path", "left")
+    return ranking.with_global_rank(rows, audit.audit_order(), "report_rank").select("report_rank", "path", "priority_rank")
+
+
 def _audited_unranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit outcome where the rank is of no interest."""
     return audit.audit_pages(_with_queries(spark, sf_dir), d.SITE)

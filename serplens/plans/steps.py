@@ -15,19 +15,35 @@ from pyspark.sql import functions as F
 from serplens import params, schemas
 from serplens.operators import audit, crawl, extract, facts, ranking, update
 from serplens.params import Site
-from serplens.sources import snapshots
+from serplens.sources import landing, snapshots
 from serplens.sources.storage import materialize
 
 
+def fetch_landed(site: Site, base: str, landed: DataFrame, as_of: date, run_date: date) -> dict:
+    """Reports from landed responses (run_date, rows) of the site's date range before ``as_of``."""
+    window = landing.date_window(site.date_range, as_of)
+    rows = landing.flatten_responses(landing.in_window(landed, window), ["query", "page"])
+    # Both grains from one pass: the finer sums are written, the coarser are taken from them.
+    sums = materialize(facts.sum_facts(rows, ["query", "page"]), "landed_sums")
+    query_page, page = facts.as_metrics(sums), facts.roll_up(sums, ["page"])
+    counts = {"query_page_rows": query_page.count(), "page_rows": page.count()}
+    window_of = {"site": site.site_url, "first_day": window[0], "last_day": window[1]}
+    return window_of | counts | fetch(site, base, query_page, page, run_date)
+
+
 def fetch(site: Site, base: str, query_page: DataFrame, page: DataFrame, run_date: date) -> dict:
-    """Zero-click and ranking reports from search facts of both grains."""
-    def write(df: DataFrame, table: str) -> int:
-        return snapshots.write_snapshot(df, base, table, site.filter_tag, run_date)
+    """Zero-click and ranking reports from search facts of both grains.
+
+    The order of a report is kept as a column, for files have none of their own.
+    """
+    def write(df: DataFrame, order: list, table: str) -> int:
+        ranked = ranking.with_global_rank(df, order, "report_rank")
+        return snapshots.write_snapshot(ranked, base, table, site.filter_tag, run_date)
 
     return {
         "filter": site.filter_tag,
-        "zero_click_rows": write(facts.zero_click_report(query_page, site), "zero_click"),
-        "ranking_rows": write(facts.ranking_report(page, site), "ranking"),
+        "zero_click_rows": write(facts.zero_click_rows(query_page, site), facts.zero_click_order(), "zero_click"),
+        "ranking_rows": write(facts.ranking_rows(page, site), facts.ranking_order(), "ranking"),
     }
 
 
@@ -78,15 +94,24 @@ def crawl_pages(site: Site, base: str, raw_pages: DataFrame, fetched: str | None
 
 
 def _inputs(spark: SparkSession, site: Site, base: str) -> tuple[date, DataFrame, DataFrame, DataFrame]:
-    """Run date, metadata, zero-click rows and ranking of the newest crawl."""
+    """Date and rows of the newest metadata, and the newest zero-click rows and ranking.
+
+    An audit needs metadata only: without query data its rules on queries find nothing.
+    """
     tag = site.filter_tag
-    run_date = snapshots.common_run(spark, base, ["page_meta", "zero_click", "priority_ranked"], tag)
-    read = {
-        name: snapshots.read_snapshot(spark, base, name, tag, run_date, schema)
-        for name, schema in (("page_meta", schemas.PAGE_META), ("zero_click", schemas.ZERO_CLICK),
-                             ("priority_ranked", schemas.PRIORITY_RANKED))
-    }
-    return run_date, read["page_meta"], read["zero_click"], read["priority_ranked"]
+
+    def newest(table: str, schema) -> tuple[date, DataFrame]:
+        day = snapshots.latest_run(spark, base, table, tag)
+        return day, snapshots.read_snapshot(spark, base, table, tag, day, schema)
+
+    def optional(table: str, schema) -> DataFrame:
+        try:
+            return newest(table, schema)[1]
+        except FileNotFoundError:
+            return spark.createDataFrame([], schema)
+
+    run_date, meta = newest("page_meta", schemas.PAGE_META)
+    return run_date, meta, optional("zero_click", schemas.ZERO_CLICK), optional("priority_ranked", schemas.PRIORITY_RANKED)
 
 
 def _audited(site: Site, meta: DataFrame, zero: DataFrame, ranked: DataFrame) -> DataFrame:
