@@ -40,6 +40,18 @@ def _byte_letters() -> list[str]:
     return [chr(b if b in prints else next(spare)) for b in range(256)]
 
 
+class _Memory(dict):
+    """Values of ``make`` by key, each made once."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        value = self[key] = self.make(key)
+        return value
+
+
 class WordTokenizer:
     """A tokenizer file with a memory, for vocabularies that drop white space between words.
 
@@ -57,7 +69,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
         self.kind = "<u4"
-        self.words: dict[bytes, bytes] = {}
+        self.words = _Memory(self._word)
         self.pieces: dict[str, bytes] = {}
         self.letters = _byte_letters()
 
@@ -91,12 +103,7 @@ class WordTokenizer:
         if len(self.pieces) > REMEMBERED:
             self.pieces.clear()
         # The tokenizer lower-cases too; done first, it leaves fewer distinct words.
-        words = text.encode().lower().split()
-        known = self.words
-        for word in words:
-            if word not in known:
-                known[word] = self._word(word)
-        return b"".join(map(known.__getitem__, words))
+        return b"".join(map(self.words.__getitem__, text.encode().lower().split()))
 
 
 def word_tokenizer(path: str, kind: str) -> WordTokenizer:
@@ -135,13 +142,9 @@ def id_counts(tokens: DataFrame, kind: str) -> DataFrame:
     def run(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                seen = np.bincount(np.frombuffer(ids.as_buffer(), kind))
-                if len(seen) > len(total):
-                    seen[:len(total)] += total
-                    total = seen
-                else:
-                    total[:len(seen)] += seen
+            seen = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind), minlength=len(total))
+            seen[:len(total)] += total
+            total = seen
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["id", "n"])
 
