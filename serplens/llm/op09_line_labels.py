@@ -26,7 +26,9 @@ from serplens.llm import wordhash
 #: Bound of the fitting sample.
 TRAIN_ROWS = 4000
 #: Lines of one labelled document that the fit uses.
-TRAIN_LINES = 256
+TRAIN_LINES = 64
+#: Largest score for keeping or changing the label from line to line.
+MAX_CHANGE = 0.5
 #: A document stays if at least this share of its words is in content lines.
 CONTENT_SHARE = 0.5
 #: The base rule: fewer words than this, or more than this percentage of repeats.
@@ -53,7 +55,7 @@ def _level(share: float, bounds: tuple[float, ...]) -> int:
 
 #: (name, number of values) of a line's features, in the order of ``line_features``.
 FEATURES = tuple((name, len(bounds) + 1) for name, _, bounds in _CLASSES) + (
-    ("capitals", 4), ("words", 6), ("distinct", 4), ("repeat", 2), ("place", 3))
+    ("capitals", 4), ("words", 4), ("distinct", 3), ("repeat", 2), ("place", 3))
 N_FEATURES = sum(n for _, n in FEATURES)
 
 
@@ -64,8 +66,8 @@ def line_features(line: bytes, words: list[bytes], seen: bool, place: int) -> li
     for _, members, bounds in _CLASSES:
         values.append(_level(_share(line, members, size), bounds))
     values.append(_level(_share(line, _UPPER, _share(line, _LETTERS, 1) or 1), (0.15, 0.4, 0.8)))
-    values.append(_level(len(words), (1, 4, 10, 30, 100)))
-    values.append(_level(1 - len(set(words)) / len(words), (0.25, 0.5, 0.75)))
+    values.append(_level(len(words), (1, 4, 10)))
+    values.append(_level(1 - len(set(words)) / len(words), (0.7, 0.9)))
     values.append(int(seen))
     values.append(place)
     at, out = 0, []
@@ -120,11 +122,13 @@ class Field:
 NO_FIELD = Field(np.zeros((N_FEATURES, 2)), np.zeros(2), np.zeros((2, 2)))
 
 
-def fit(documents: list[tuple[np.ndarray, int]], rounds: int = 60, rate: float = 0.2, decay: float = 1e-4) -> Field:
+def fit(documents: list[tuple[np.ndarray, int]], rounds: int = 40, rate: float = 0.2, decay: float = 1e-4) -> Field:
     """Maximum likelihood of the labels (every line of a document has its label), by adaptive steps.
 
     Forward and backward sums run over all documents at once, one line at a time;
-    documents are padded to the longest. Both labels weigh the same in total.
+    documents are padded to the longest. Both labels weigh the same in total. As all
+    lines of a document share a label here, scores of changes are kept within bounds:
+    else one odd line would decide for all.
     """
     documents = [(f, y) for f, y in documents if len(f)]
     labels = np.array([y for _, y in documents], dtype=np.int64)
@@ -169,6 +173,7 @@ def fit(documents: list[tuple[np.ndarray, int]], rounds: int = 60, rate: float =
             g -= decay * p
             s += g * g
             p += rate * g / np.sqrt(s + 1e-12)
+        np.clip(params[2], -MAX_CHANGE, MAX_CHANGE, out=params[2])
     return Field(*params)
 
 
