@@ -79,8 +79,11 @@ def _dense_unique(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     lows = np.flatnonzero(mark)
     rank = np.zeros(1 << 24, dtype=np.int32)
     rank[lows] = np.arange(len(lows), dtype=np.int32)
-    high, inverse = np.unique(codes >> np.uint32(24), return_inverse=True)
-    pair = rank[low].astype(np.int64) * len(high) + inverse
+    top = (codes >> np.uint32(24)).astype(np.uint8)
+    high = np.flatnonzero(np.bincount(top, minlength=256))
+    place_of = np.zeros(256, dtype=np.int64)
+    place_of[high] = np.arange(len(high))
+    pair = rank[low].astype(np.int64) * len(high) + place_of[top]
     seen = np.zeros(len(lows) * len(high), dtype=bool)
     seen[pair] = True
     pairs = np.flatnonzero(seen)
