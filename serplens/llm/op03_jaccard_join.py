@@ -39,10 +39,11 @@ from pyspark.sql import functions as F
 
 from serplens.llm import wordhash
 from serplens.llm.components import connected_components
+from serplens.llm.tables import join_rows, keyed
 from serplens.sources.storage import materialize
 
 #: Share of all shingle hashes that the screen looks at; it must exceed ``1 - num/den``.
-SCREEN_SHARE = 0.375
+SCREEN_SHARE = 0.6
 MAX_MATCHES = 8
 HUBS_PER_NODE = 3
 #: Verifying a candidate costs about this many posting entries per shingle of the node.
@@ -61,7 +62,7 @@ def node_of(shingles: np.ndarray) -> int:
 def _ragged(arrays: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
     flat = np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
 def _batches(rows: Iterator[tuple], names: list[str], types: list, weigh: int = 1 << 19) -> Iterator[pa.RecordBatch]:
@@ -83,28 +84,42 @@ def _batch(held: list[tuple], names: list[str], types: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*columns, _ragged(list(arrays))], names=names)
 
 
-def signatures(docs: DataFrame, k: int, screen: float) -> DataFrame:
-    """(doc_id, text_hash, node, n, screened hashes) per row."""
-    top = np.uint64(int(screen * (1 << 64)) if screen < 1 else (1 << 64) - 1)
+def signatures(docs: DataFrame, k: int) -> DataFrame:
+    """(doc_id, text_hash, node, n) per row."""
+    def run(batches):
+        for batch in batches:
+            found = [(node_of(s), len(s)) for _, s in wordhash.shingle_sets(batch.column(2), k)]
+            nodes, sizes = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32())],
+                names=["doc_id", "text_hash", "node", "n"])
+
+    return keyed(docs).mapInArrow(run, "doc_id bigint, text_hash bigint, node bigint, n int")
+
+
+def _screened(docs: DataFrame, k: int, share: float) -> DataFrame:
+    """(token, node) of every shingle whose hash is among the smallest ``share`` of all."""
+    bound = np.uint64(int(share * (1 << 64)))
 
     def run(batches):
         for batch in batches:
-            ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            rows = ((ids[i], hashes[i], node_of(s), len(s), s[:np.searchsorted(s, top)])
-                    for i, s in wordhash.shingle_sets(batch.column(2), k))
-            yield from _batches(rows, ["doc_id", "text_hash", "node", "n", "screened"],
-                                [pa.int64(), pa.int64(), pa.int64(), pa.int32()])
+            tokens, nodes, held = [], [], 0
+            for row, s in wordhash.shingle_sets(batch.column(0), k):
+                tokens.append(s[:int(np.searchsorted(s, bound))].view(np.int64))
+                nodes.append(np.full(len(tokens[-1]), node_of(s), np.int64))
+                held += len(tokens[-1])
+                if held >= 1 << 19 or row == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(tokens)), pa.array(np.concatenate(nodes))], names=["token", "node"])
+                    tokens, nodes, held = [], [], 0
 
-    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                         F.xxhash64("text").alias("text_hash"), "text")
-    return wanted.mapInArrow(
-        run, "doc_id bigint, text_hash bigint, node bigint, n int, screened array<bigint>")
+    return docs.select("text").mapInArrow(run, "token bigint, node bigint")
 
 
-def _survivors(signed: DataFrame, num: int, den: int) -> DataFrame:
-    """One row of each node that may link with another."""
+def _survivors(docs: DataFrame, signed: DataFrame, k: int, num: int, den: int, share: float) -> DataFrame:
+    """(node, doc_id, text_hash): one row of each node that may link with another."""
     alone = (
-        signed.select(F.explode("screened").alias("token"), "node")
+        _screened(docs, k, share)
         .groupBy("token").agg(F.min("node").alias("node"), F.max("node").alias("other"))
         .where("node = other").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
     )
@@ -114,13 +129,13 @@ def _survivors(signed: DataFrame, num: int, den: int) -> DataFrame:
         f"{den} * (n - coalesce(alone, 0)) >= {num} * n").select("node", "row.*")
 
 
-def _in_bitmap(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The ``rows`` whose text_hash may be in ``wanted``, told before texts are shuffled.
+def _in_bitmap(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """The ``rows`` whose ``column``, a hash, may be in ``wanted``, told before they are shuffled.
 
     A bitmap of ``BITMAP_PAGES`` pages of 32,768 bits each, 4 KB, so its size is
     fixed and it may be broadcast. The fuller it is, the more rows pass in vain.
     """
-    bit = F.expr(f"pmod(text_hash, {BITMAP_PAGES * 32768}L)")
+    bit = F.expr(f"pmod({column}, {BITMAP_PAGES * 32768}L)")
     pages = wanted.select(bit.alias("bit")).groupBy(F.expr("bit div 32768").alias("page")) \
         .agg(F.bitmap_construct_agg(F.expr("bit % 32768")).alias("bits"))
     octet = F.expr("int(conv(hex(substring(bits, int(bit % 32768 div 8) + 1, 1)), 16, 10))")
@@ -129,19 +144,22 @@ def _in_bitmap(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         .where(F.getbit(octet, F.expr("int(bit % 8)")) == 1).drop("bit", "page", "bits")
 
 
-def _sets(docs: DataFrame, survivors: DataFrame, k: int) -> DataFrame:
-    """(node, n, shingles) of the surviving nodes, read from their whole texts."""
+def _rows_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The ``rows`` (doc_id, text_hash, ...) that stand for ``nodes``."""
+    return join_rows(_in_bitmap(rows, nodes, "text_hash"), nodes.select("doc_id", "text_hash"), "left_semi")
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """(node, n, shingles) of ``nodes``, read from their whole texts.
+
+    Rows that repeat both id and text give the same node again.
+    """
     def run(batches):
         for batch in batches:
-            rows = ((node_of(s), len(s), s) for _, s in wordhash.shingle_sets(batch.column(0), k))
+            rows = ((node_of(s), len(s), s.view(np.int64)) for _, s in wordhash.shingle_sets(batch.column(0), k))
             yield from _batches(rows, ["node", "n", "shingles"], [pa.int64(), pa.int32()])
 
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
-                        F.xxhash64("text").alias("text_hash"))
-    same = keyed["doc_id"].eqNullSafe(survivors["doc_id"]) & (keyed["text_hash"] == survivors["text_hash"])
-    # Rows that repeat both id and text give the same node again.
-    return _in_bitmap(keyed, survivors).join(survivors, same, "left_semi").select("text") \
-        .mapInArrow(run, "node bigint, n int, shingles array<bigint>").dropDuplicates(["node"])
+    return _rows_of(keyed(docs), nodes).select("text").mapInArrow(run, "node bigint, n int, shingles array<bigint>")
 
 
 def choose_matches(dfs: np.ndarray, n: int, unique: int, num: int, den: int) -> tuple[int, int]:
@@ -165,11 +183,16 @@ def choose_matches(dfs: np.ndarray, n: int, unique: int, num: int, den: int) ->
 
 
 def _profiles(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(node, n, u, l, prefix): shared shingles u, matches l, and the prefix to post."""
+    """(node, n, u, l, prefix) of the nodes that may still link.
+
+    ``u`` shingles are shared, ``l`` matches are required; the ``n - u`` unshared
+    ones come before the prefix to post. A node that is there twice counts twice in
+    frequencies: these only order shingles, and set bounds that may be too wide.
+    """
     tokens = sets.select("node", "n", F.explode("shingles").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    ordered = tokens.join(shared, "token").groupBy("node").agg(
-        F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("s")
+    ordered = _in_bitmap(tokens, shared, "token").join(shared, "token").groupBy("node").agg(
+        F.first("n").alias("n"), F.sort_array(F.collect_set(F.struct("df", "token"))).alias("s")
     ).where(f"{den} * size(s) >= {num} * n").select("node", "n", "s.df", "s.token")
 
     def run(batches):
@@ -229,7 +252,7 @@ def _enough_matches(pairs: DataFrame, profiles: DataFrame, num: int, den: int) -
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose sets link."""
     def side(c):
-        return sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}"))
+        return _in_bitmap(sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")), pairs, c)
 
     def run(batches):
         for batch in batches:
@@ -287,17 +310,20 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
     each. A null doc_id takes part and never wins as the smallest. Other columns
     are ignored, an empty table gives no rows.
     """
-    share = max(SCREEN_SHARE, min(1.0, 1.5 * (1 - num / den)))
-    signed = materialize(signatures(docs, k, share), "signatures")
-    survivors = materialize(_survivors(signed, num, den), "survivors")
+    share = max(SCREEN_SHARE, min(0.99, 1.5 * (1 - num / den)))
+    signed = materialize(signatures(docs, k), "signatures")
+    survivors = materialize(_survivors(docs, signed, k, num, den, share), "survivors")
     sets = materialize(_sets(docs, survivors, k), "shingle_sets")
     profiles = materialize(_profiles(sets, num, den), "prefixes")
     postings = _postings(profiles)
-    near = materialize(_verified(materialize(_star_pairs(postings, num, den), "star_pairs"), sets, num, den), "links")
+
+    def links(pairs):
+        return materialize(_verified(pairs, sets, num, den), "links")
+
+    near = links(materialize(_star_pairs(postings, num, den), "star_pairs"))
     labels = connected_components(near)
     other = materialize(_remaining_pairs(postings, labels, num, den), "other_pairs")
-    other = materialize(_enough_matches(other, profiles, num, den), "other_pairs")
-    far = materialize(_verified(other, sets, num, den), "links")
+    far = links(materialize(_enough_matches(other, profiles, num, den), "other_pairs"))
     labels = connected_components(near.unionByName(far))
 
     classes = signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("class_id"))
