@@ -62,7 +62,8 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = M
     equal results, and all rows count for their sites. An empty table gives no
     rows; other columns are ignored.
     """
-    lines = line_sites(docs, site)
+    # Written once, as narrow rows: texts are split and lines normalised a single time.
+    lines = materialize(line_sites(docs, site), "lines")
     spread = materialize(spread_lines(lines, min_sites).select("hash"), "boilerplate")
     found = lines.join(spread, "hash", "left_semi").groupBy("doc_id", "text_hash") \
         .agg(F.array_sort(F.collect_set("place")).alias("removed"))
