@@ -13,7 +13,8 @@ pairs inside a group of copies:
    nodes share at least ``l`` shingles of their prefixes of length
    ``n - ceil(n * num/den) + l``, for the smaller ``l`` of both. Each node takes
    the ``l`` with the least estimated cost: prefix entries to scan, plus the
-   candidates that can hold ``l`` matches times the cost of verifying one.
+   candidates that can hold ``l`` matches times the cost of verifying one; ``l``
+   is at most the least overlap ``ceil(n * num/den)``.
    Shingles that no other node has come first and need not be posted; their
    number also bounds the overlap with any partner.
 4. Stars. The most typical node of each posting list is its hub. Nodes are
@@ -168,17 +169,20 @@ def choose_matches(dfs: np.ndarray, n: int, unique: int, num: int, den: int) ->
     ``dfs`` are the frequencies of its shingles that other nodes have, rare first;
     ``unique`` more shingles come before them.
     """
-    base = n - -(-num * n // den) - unique
+    least = -(-num * n // den)
+    base = n - least - unique
+    if base < 0:
+        # Fewer shared shingles than any link takes: no partner can be found, at no cost.
+        return 1, 0
     best = None
-    for matches in range(1, min(MAX_MATCHES, n) + 1):
-        posted = min(max(base + matches, 0), len(dfs))
+    # Any link takes ``least`` shared shingles, so up to that many matches may be
+    # required, and there are always as many to post.
+    for matches in range(1, min(MAX_MATCHES, least) + 1):
+        posted = base + matches
         scanned = float(dfs[:posted].sum())
         cost = scanned + scanned / matches * VERIFY_COST * n
         if best is None or cost < best[0]:
             best = (cost, matches, posted)
-        if posted < matches:
-            # Fewer shared shingles than matches: no partner can be found, at no cost.
-            return matches, 0
     return best[1], best[2]
 
 

@@ -100,6 +100,33 @@ def test_prefixes_lengthen_where_candidates_are_dear():
         assert posted == 40 - 30 + matches
 
 
+def test_prefixes_of_short_texts_are_posted():
+    """Every node with enough shared shingles for a link posts at least as many as it requires."""
+    for n in range(1, 41):
+        least = -(-75 * n // 100)
+        for shared in range(n + 1):
+            matches, posted = op3.choose_matches(np.full(shared, 2), n, n - shared, 75, 100)
+            if shared < least:
+                assert posted == 0
+            else:
+                assert 1 <= matches <= least and posted == shared - least + matches
+
+
+def test_classes_of_short_edited_texts(spark):
+    """Texts of 5 to 15 words with words of their own changed, added or dropped, mostly at an end."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for length in range(5, 16):
+        for base in range(4):
+            words = [f"s{length}x{base}x{i}" for i in range(length)]
+            rows.append((len(rows), " ".join(words)))
+            own = f"own{len(rows)}"
+            edits = (words[:-1] + [own], words + [own], [own] + words[1:], words[1:], [own] + words + [own + "b"])
+            for i in rng.permutation(len(edits))[:1 + base]:
+                rows.append((len(rows), " ".join(edits[i])))
+    check_classes(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5))
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (5, 4), (6, 6), (None, 1), (9, 8), (8, 7), (7, 9)] + [(100 + i, 101 + i) for i in range(40)]
     got = dict(connected_components(spark.createDataFrame(links, "a bigint, b bigint")).distinct().collect())
