@@ -1,26 +1,34 @@
 """Secret scan: known forms by pattern, unknown ones by a battery of randomness tests.
 
 Known forms are matched left to right without overlap. For the rest, every run of
-16 or more key characters with letters and digits is a candidate. Its encoding is
-inferred (hexadecimal, base 32, alphanumeric, base 64) and three tests ask whether
-its symbols could be uniform draws from that alphabet:
+16 or more key characters with a letter is a candidate, and so is every part of 16
+or more between its separators, as a key may stand in a path or behind a prefix. Its
+encoding is inferred (hexadecimal, base 32, alphanumeric, base 64, each of these
+without digits) and three tests ask whether its symbols could be uniform draws from
+that alphabet:
 
 * chi-squared: symbol counts against a flat alphabet,
 * runs: changes between lower and upper half of the alphabet,
 * serial correlation of neighbouring symbols.
 
+Long words look much like draws of letters to these. So candidates without a digit
+have encodings of their own and a fourth test, which asks whether neighbouring
+letters follow one another as in the words of the corpus.
+
 Their p-values are combined by Fisher's method. A random string has a uniform p;
 text has a p near zero, the more surely the longer it is. So each class of
 encoding and length gets its own cut: the number of random strings in the class is
 estimated from the upper half of its p-values, and the lowest cut is taken at
 which at most ``FALSE_SHARE`` of the candidates above it are expected to be text.
-The cut table has at most one row per encoding and length class.
+The cut table has at most one row per encoding and length class. Of candidates
+inside one another that pass, the outer one is reported.
 
 Everything is built-in expressions: no Python runs on the executors.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,8 +38,12 @@ from serplens.sources.storage import materialize
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"
-#: A whole run, tried at its first character only, with a digit.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
+#: A whole run, tried at its first character only, with a letter.
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{16,}={0,2}"
+#: What separates the parts of a run: a key may have some of these characters itself.
+SEPARATORS = ("/", "/-", "+/_-")
+#: Words whose pairs of letters are counted; longer ones may be candidates.
+WORD = "[a-z]{4,15}"
 
 #: Expected share of text among flagged candidates of a class.
 FALSE_SHARE = 0.05
@@ -45,6 +57,12 @@ _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHI
 ENCODINGS = (
     ("hex", "[0-9a-f]+", _DIGITS + "abcdef"),
     ("HEX", "[0-9A-F]+", _DIGITS + "ABCDEF"),
+    ("lower", "[a-z]+", _LOWER),
+    ("upper", "[A-Z]+", _UPPER),
+    ("letters", "[A-Za-z]+", _UPPER + _LOWER),
+    ("letters64", "[A-Za-z+/]+", _UPPER + _LOWER + "+/"),
+    ("letters64url", "[A-Za-z_-]+", _UPPER + _LOWER + "-_"),
+    ("lettersmixed", "[A-Za-z+/_-]+", _UPPER + _LOWER + "+/-_"),
     ("base32", "[A-Z2-7]+", _UPPER + "234567"),
     ("alnum", "[A-Za-z0-9]+", _UPPER + _LOWER + _DIGITS),
     ("base64", "[A-Za-z0-9+/]+", _UPPER + _LOWER + _DIGITS + "+/"),
@@ -88,11 +106,44 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, start, stop, value) of every candidate run of ``docs`` (keyed)."""
+    """(doc_id, text_hash, start, stop, value) of every candidate run of ``docs`` (keyed), and of its parts."""
     # Outer, so that the optimizer does not filter on the list's size by building it twice.
     found = docs.select("doc_id", "text_hash", F.explode_outer(matches(F.col("text"), CANDIDATE)).alias("m"))
-    return found.select("doc_id", "text_hash", "m.start", "m.stop", F.col("m.g0").alias("value")) \
-        .where(F.rlike("value", F.lit("[A-Za-z]")))
+    runs = found.select("doc_id", "text_hash", "m.start", "m.stop", F.col("m.g0").alias("value")).where("value IS NOT NULL")
+
+    def span(start, stop, value):
+        return F.struct(start.alias("start"), stop.alias("stop"), value.alias("value"))
+
+    parts = [F.transform(matches(F.col("value"), f"[^{marks}]{{16,}}"), lambda m: span(
+        F.col("start") + m["start"], F.col("start") + m["stop"], m["g0"])) for marks in SEPARATORS]
+    whole = F.array(span(F.col("start"), F.col("stop"), F.col("value")))
+    every = F.when(F.rlike("value", F.lit("[+/_-]")), F.array_distinct(F.concat(whole, *parts))).otherwise(whole)
+    # A part may owe its length to the padding.
+    return runs.select("doc_id", "text_hash", F.explode_outer(every).alias("m")).select("doc_id", "text_hash", "m.*") \
+        .where(F.rlike("value", F.lit("[A-Za-z]")) & F.rlike("value", F.lit("^[^=]{16}")))
+
+
+def letter_pairs(docs: DataFrame) -> np.ndarray:
+    """How often each letter follows another in the words of ``docs``, 26 x 26, one added to each."""
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("word")) \
+        .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    pairs = words.select("n", F.explode(F.expr(
+        "transform(sequence(1, length(word) - 1), i -> substring(word, i, 2))")).alias("pair"))
+    counts = np.ones((26, 26))
+    # At most one row per pair of letters.
+    for pair, n in pairs.groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        counts[ord(pair[0]) - 97, ord(pair[1]) - 97] += n
+    return counts
+
+
+def _word_test(pairs: np.ndarray) -> tuple[Column, str]:
+    """Scores of the pairs of letters, and z of the sum ``told`` of ``told_of`` scores under uniform draws."""
+    scores = np.log(pairs / pairs.mean())
+    # Neighbouring pairs have a letter in common.
+    common = ((scores.mean(0) - scores.mean()) * (scores.mean(1) - scores.mean())).mean()
+    spread = f"(told_of * {scores.var()}D + 2 * greatest(0, told_of - 1) * {common}D)"
+    return F.lit(scores.ravel().tolist()), (
+        f"CASE WHEN {spread} > 0 THEN (told - told_of * {scores.mean()}D) / sqrt({spread}) ELSE 0D END")
 
 
 #: Upper tail of the normal distribution, by a rational approximation with an error below 1e-7.
@@ -111,8 +162,12 @@ def _two_sided(z: str) -> str:
     return f"(2 * {_upper_tail(f'abs({z})')})"
 
 
-def tested(found: DataFrame) -> DataFrame:
-    """Candidates with encoding, length class, the three p-values and their combination p."""
+def tested(found: DataFrame, pairs: np.ndarray | None = None) -> DataFrame:
+    """Candidates with encoding, length class, the p-values and their combination p.
+
+    ``pairs`` are those of ``letter_pairs``; without any, no pair is more usual than others.
+    """
+    scores, z_words = _word_test(np.ones((26, 26)) if pairs is None else pairs)
     bare = F.regexp_replace("value", "=+$", "")
     name, alphabet = F.lit(None), F.lit(None)
     for encoding, pattern, symbols in reversed(ENCODINGS):
@@ -127,7 +182,16 @@ def tested(found: DataFrame) -> DataFrame:
         .withColumns({
             "length_class": length_class, "k": F.length("alphabet"),
             "x": F.expr("transform(split(bare, ''), c -> instr(alphabet, c) - 1)"),
+            "letters": ~F.rlike("bare", F.lit("[0-9]")), "scores": scores,
+            "y": F.expr(f"transform(split(lower(bare), ''), c -> instr('{_LOWER}', c) - 1)"),
+        })
+        .withColumns({
+            "told": F.expr("CASE WHEN letters THEN aggregate(sequence(1, n - 1), 0D, (a, i) -> a + CASE WHEN get(y, i - 1) >= 0 "
+                           "AND get(y, i) >= 0 THEN get(scores, 26 * get(y, i - 1) + get(y, i)) ELSE 0D END) END"),
+            "told_of": F.expr("CASE WHEN letters THEN size(filter(sequence(1, n - 1), "
+                              "i -> get(y, i - 1) >= 0 AND get(y, i) >= 0)) END"),
         })
+        .withColumn("z_words", F.expr(z_words))
         .withColumn("counts", F.expr(
             "transform(sequence(0, k - 1), s -> bigint(size(filter(x, v -> v = s))))"))
         .withColumns({
@@ -155,11 +219,13 @@ def tested(found: DataFrame) -> DataFrame:
             "p_runs": F.expr(f"greatest(1e-12D, {_two_sided('z_runs')})"),
             "p_serial": F.expr(f"greatest(1e-12D, {_two_sided('z_serial')})"),
         })
-        # Fisher: -2 ln of the product has a chi-squared distribution with six degrees.
-        .withColumn("half", F.expr("-ln(p_chi2 * p_runs * p_serial)"))
-        .withColumn("p", F.expr("least(1D, exp(-half) * (1 + half + half * half / 2))"))
+        .withColumn("p_words", F.when(F.col("letters"), F.expr(f"greatest(1e-12D, {_upper_tail('z_words')})")))
+        # Fisher: -2 ln of the product has a chi-squared distribution with six degrees, eight for four tests.
+        .withColumn("half", F.expr("-ln(p_chi2 * p_runs * p_serial * coalesce(p_words, 1D))"))
+        .withColumn("p", F.expr("least(1D, exp(-half) * (1 + half + half * half / 2 + "
+                                "CASE WHEN letters THEN half * half * half / 6 ELSE 0D END))"))
         .select("doc_id", "text_hash", "start", "stop", "value", "encoding", "length_class",
-                "p_chi2", "p_runs", "p_serial", "p", F.expr(f"least({STEPS - 1}, int(p * {STEPS}))").alias("step"))
+                "p_chi2", "p_runs", "p_serial", "p_words", "p", F.expr(f"least({STEPS - 1}, int(p * {STEPS}))").alias("step"))
     )
 
 
@@ -182,10 +248,13 @@ def cuts(scored: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
 
 def random_strings(docs: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
     """The candidates of ``docs`` (keyed) that pass for random, with their test results."""
-    scored = materialize(tested(candidates(docs)), "candidates")
+    scored = materialize(tested(candidates(docs), letter_pairs(docs)), "candidates")
+    before = Window.partitionBy("doc_id", "text_hash").orderBy("start", F.desc("stop")) \
+        .rowsBetween(Window.unboundedPreceding, -1)
     # At most one row per encoding and length class.
     return scored.join(F.broadcast(cuts(scored, false_share)), ["encoding", "length_class"]) \
-        .where("step >= cut").drop("step", "cut")
+        .where("step >= cut").drop("step", "cut").withColumn("reached", F.coalesce(F.max("stop").over(before), F.lit(-1))) \
+        .where("stop > reached").drop("reached")
 
 
 def _joined(spans: Column) -> Column:

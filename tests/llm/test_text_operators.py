@@ -175,6 +175,33 @@ def test_tests_of_randomness(spark):
     assert got[2]["p"] < 0.01 < got[1]["p"]
 
 
+def test_random_letters_and_parts_of_paths(spark, sample):
+    """Keys without a digit and keys behind a prefix pass, long words of the corpus and paths of words do not."""
+    import random
+    rng = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def key(symbols, n=24):
+        return "".join(rng.choice(symbols) for _ in range(n))
+
+    whole = [key(symbols) for symbols in (letters, letters.upper(), letters + letters.upper()) for _ in range(100)]
+    inner = [key(letters + letters.upper() + "0123456789") for _ in range(100)]
+    texts = [(i, f"see {k} for it") for i, k in enumerate(whole)]
+    texts += [(1000 + i, f"see /api/v1/users/{k} for it" if i % 2 else f"see live-production-{k} for it") for i, k in enumerate(inner)]
+    words = sorted({w for (t,) in sample.select("text").collect() for w in re.findall("[a-z]{6,12}", t or "")})
+    texts += [(2000 + i, f"see {rng.choice(words)}{rng.choice(words)}{rng.choice(words)} for it") for i in range(200)]
+    texts += [(3000 + i, f"see /{'/'.join(rng.choice(words) for _ in range(3))} for it") for i in range(200)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").unionByName(
+        sample.selectExpr("doc_id + 100000 AS doc_id", "text"))
+    spans = {r["doc_id"]: {(s["start"], s["stop"]) for s in r["random"]} for r in op4.scan(docs).where("doc_id < 100000").collect()}
+    text = dict(texts)
+    found = [any(text[i][a:b] == k for a, b in spans[i]) for i, k in enumerate(whole)]
+    for kind in range(3):
+        assert sum(found[100 * kind:100 * kind + 100]) >= 85
+    assert sum(any(k in text[1000 + i][a:b] for a, b in spans[1000 + i]) for i, k in enumerate(inner)) >= 85
+    assert sum(bool(spans[i]) for i in spans if i >= 2000) <= 20
+
+
 def test_scan_edges(edges, nothing):
     assert op4.with_span_digest(op4.scan(nothing)).count() == 0
     assert op4.scan(edges).count() == len(EDGES)
