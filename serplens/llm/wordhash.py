@@ -63,14 +63,21 @@ def in_words(raw: np.ndarray) -> np.ndarray:
     return ~_SPACE[raw]
 
 
-def word_hashes(raw: np.ndarray, at: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def byte_table(solid: np.ndarray, fold: bool = True) -> np.ndarray:
+    """Value of every byte in a word's hash, 0 for bytes that part words."""
+    return np.where(solid, _FOLDED if fold else _BYTE, np.uint64(0))
+
+
+def word_hashes(raw: np.ndarray, at: np.ndarray, fold: bool = True,
+                table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word in order, and the index of each text's first word (one more at the end).
 
-    ``fold``: A-Z count as a-z.
+    ``fold``: A-Z count as a-z. A ``table`` of ``byte_table`` stands for other words
+    than those between white space.
     """
     if len(raw) == 0:
         return np.zeros(0, np.uint64), np.zeros(len(at), np.int64)
-    solid = in_words(raw)
+    solid = in_words(raw) if table is None else table[raw] != 0
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
     inner = at[:-1][at[:-1] < at[1:]]
@@ -81,7 +88,8 @@ def word_hashes(raw: np.ndarray, at: np.ndarray, fold: bool = True) -> tuple[np.
     # White space adds nothing, so a word may be summed up to the next word's start.
     spans = np.diff(starts, append=len(raw))
     place = np.arange(starts[0], len(raw)) - np.repeat(starts, spans)
-    terms = (_FOLDED if fold else _BYTE)[raw[starts[0]:]] * _power_table(int(spans.max()))[place]
+    values = (_FOLDED if fold else _BYTE) if table is None else table
+    terms = values[raw[starts[0]:]] * _power_table(int(spans.max()))[place]
     return mix(np.add.reduceat(terms, starts - starts[0])), np.searchsorted(starts, at)
 
 
