@@ -71,9 +71,10 @@ def audit_pages(pages: DataFrame, site: Site) -> DataFrame:
     return pages.withColumns(rule_columns(site)).withColumn("issues", issue_list())
 
 
-def audit_rows(audited: DataFrame) -> DataFrame:
-    """The columns of the audit report, unordered."""
+def audit_rows(audited: DataFrame, *more: str) -> DataFrame:
+    """The columns of the audit report and ``more``, unordered."""
     return audited.select(
+        *more,
         F.coalesce("priority_rank", F.lit(params.UNRANKED)).cast("long").alias("priority_rank"),
         "path",
         F.size("issues").cast("long").alias("issues_count"),

@@ -75,7 +75,7 @@ def coverage(pages: DataFrame) -> DataFrame:
 def missing_samples(pages: DataFrame, n: int = MISSING_SAMPLE) -> DataFrame:
     """The first ``n`` pages without a title and without a description.
 
-    Each comes with the number of all such pages of its kind.
+    Each comes with the number of all such pages of its kind. ``pages`` is read twice per kind.
     """
     def sample(column: str) -> DataFrame:
         missing = pages.where(~present(F.col(column)))

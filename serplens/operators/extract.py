@@ -82,13 +82,14 @@ def extract_metadata(raw_pages: DataFrame, partitions: int | None = None) -> Dat
     return gated.mapInArrow(_batch_parser(_ARROW_META), out)
 
 
-def latest_per_path(pages: DataFrame, fetched: str = "fetched_at") -> DataFrame:
-    """The last result of each path.
+def latest_per_path(pages: DataFrame, fetched: str | None = "fetched_at") -> DataFrame:
+    """The last result of each path; without a column to tell, a successful one.
 
     Meant for extracted rows: repeated fetches are cheaper to parse twice than
     to shuffle as HTML. Only one row per path and partition is shuffled.
     """
     # Of fetches at the same time a successful one counts, then one that is the same in every run.
     whole = F.xxhash64(*(c for c in pages.columns if c not in ("path", fetched)))
-    order = Window.partitionBy("path").orderBy(F.desc(fetched), F.desc(F.col("status") == 200), whole)
+    last = [F.desc(fetched)] if fetched else []
+    order = Window.partitionBy("path").orderBy(*last, F.desc(F.col("status") == 200), whole)
     return pages.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") == 1).drop("_nth")

@@ -114,20 +114,54 @@ def label_pages(pages: DataFrame, site: Site) -> DataFrame:
     )
 
 
-def median_of(df: DataFrame, column: str) -> DataFrame:
-    """One row with the exact, interpolated median of an integer column.
+#: Ranges that one pass of a selection counts.
+SELECTION_RANGES = 4096
 
-    Counting per value first leaves the final merge one entry per distinct
-    value. Values that sum to T have at most sqrt(2T) distinct ones, whatever
-    the number of rows.
+
+def values_at(df: DataFrame, column: str, places: Sequence[int], low: int, high: int) -> list[int]:
+    """The integers at the given places, from 0, of ``column`` in ascending order, all between two bounds.
+
+    Selection by counting: the values between the bounds are counted in
+    ``SELECTION_RANGES`` equal ranges, the range that holds a place is divided again,
+    until it is one value wide. Every task sends one count per range and the driver
+    sees no more, however many rows or values there are. Two places are usually in one range.
+    """
+    wanted = {place: (low, high, place) for place in places}
+    while any(lo < hi for lo, hi, _ in wanted.values()):
+        spans = sorted({(lo, hi) for lo, hi, _ in wanted.values() if lo < hi})
+        widths = {span: -(-(span[1] - span[0] + 1) // SELECTION_RANGES) for span in spans}
+        inside = " ".join(f"WHEN {column} BETWEEN {lo}L AND {hi}L THEN struct({i} AS span, ({column} - {lo}L) div {widths[lo, hi]}L AS part)"
+                          for i, (lo, hi) in enumerate(spans))
+        counted = df.select(F.expr(f"CASE {inside} END").alias("at")).where("at IS NOT NULL") \
+            .groupBy("at.span", "at.part").agg(F.count(F.lit(1)).alias("n")).orderBy("span", "part").collect()
+        for place, (lo, hi, rest) in wanted.items():
+            if lo == hi:
+                continue
+            width = widths[lo, hi]
+            for row in (r for r in counted if spans[r["span"]] == (lo, hi)):
+                if rest < row["n"]:
+                    start = lo + row["part"] * width
+                    wanted[place] = (start, min(hi, start + width - 1), rest)
+                    break
+                rest -= row["n"]
+    return [wanted[place][0] for place in places]
+
+
+def median_of(df: DataFrame, column: str) -> float | None:
+    """Exact, interpolated median of an integer column, by distributed selection; None without values.
+
+    ``df`` is read once for its bounds and once per division, so it should be written already.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.percentile(column, F.lit(0.5), F.col("n")).alias("median"))
+    n, low, high = df.agg(F.count(column), F.min(column), F.max(column)).first()
+    if n == 0:
+        return None
+    middle = sorted({(n - 1) // 2, n // 2})
+    return sum(values_at(df, column, middle, low, high)) / len(middle)
 
 
 def segment_pages(labelled: DataFrame) -> DataFrame:
     """Demand segment of each page against the median page of the same frame."""
-    median = median_of(labelled, "impressions").scalar()
+    median = F.lit(median_of(labelled, "impressions")).cast("double")
     return labelled.withColumn(
         "segment", labels.demand_segment(F.col("impressions"), F.col("clicks"), median)
     )

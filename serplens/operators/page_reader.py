@@ -9,6 +9,7 @@ from __future__ import annotations
 import html
 import json
 import math
+import re
 from collections import Counter
 from html.entities import html5
 from html.parser import HTMLParser
@@ -226,20 +227,50 @@ def _cut(value, depth: int = MAX_DEPTH):
     return value
 
 
+_BRACKET = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]{}]', re.DOTALL)
+
+
+def _shallow(text: str, depth: int = MAX_DEPTH) -> str:
+    """The JSON text with null for what is nested deeper than ``depth``, found without recursion."""
+    kept, closers, at = [], [], 0
+    for found in _BRACKET.finditer(text):
+        mark = found[0]
+        if mark in "[{":
+            closers.append("]" if mark == "[" else "}")
+            if len(closers) == depth + 1:
+                kept += [text[at:found.start()], "null"]
+        elif mark in "]}":
+            if not closers or closers.pop() != mark:
+                raise ValueError("brackets do not match")
+            if len(closers) == depth:
+                at = found.end()
+    if closers:
+        raise ValueError("brackets are left open")
+    return "".join([*kept, text[at:]])
+
+
+def _parsed(text: str):
+    return _cut(json.loads(text, parse_constant=lambda _: None, parse_float=_finite, parse_int=_integer))
+
+
 def valid_json(text: str) -> str | None:
     """Normal form of a JSON text, NULL when it is none.
 
     Repeated keys keep the last value, numbers beyond the range of doubles become
     null like other non-finite ones, overlong integers become doubles, and what is
     nested too deep becomes null: stricter readers downstream would reject the block.
+    A block is never dropped for its depth.
     """
     try:
-        value = _cut(json.loads(text, parse_constant=lambda _: None, parse_float=_finite, parse_int=_integer))
+        try:
+            value = _parsed(text)
+        except RecursionError:
+            value = _parsed(_shallow(text))
         normal = json.dumps(value, ensure_ascii=False, allow_nan=False)
         normal.encode()
     except UnicodeEncodeError:
         return json.dumps(value)
-    except (ValueError, RecursionError):
+    except ValueError:
         return None
     return normal
 

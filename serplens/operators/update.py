@@ -140,11 +140,17 @@ def update_statistics(before: DataFrame, after: DataFrame, skipped: DataFrame) -
     ).withColumn("skipped", n_skipped)
 
 
-def acceptance(updated: DataFrame, site: Site) -> DataFrame:
-    """Which output rules each updated page meets."""
+def acceptance(updated: DataFrame, site: Site, zero_click: DataFrame) -> DataFrame:
+    """Which output rules each updated page meets.
+
+    The description alone has to cover every top query, title and keywords do not count.
+    A page without queries covers them all.
+    """
     path, title, desc = F.col("path"), F.col("title"), F.col("meta_description")
-    english = path.startswith("/en/")
-    return updated.select(
+    english, nothing = path.startswith("/en/"), F.lit(None).cast("string")
+    queries = F.coalesce("queries", F.array().cast("array<string>"))
+    uncovered = text.uncovered_queries(nothing, desc, nothing, queries)
+    return updated.join(audit.coverage_queries(zero_click), "path", "left").select(
         "path",
         (~text.too_long(title, site.max_title_length)).alias("title_fits"),
         (~text.too_long(desc, site.max_description_length)).alias("description_fits"),
@@ -153,4 +159,5 @@ def acceptance(updated: DataFrame, site: Site) -> DataFrame:
         # English pages carry no Chinese text, the others some.
         F.when(english, ~text.has_cjk(title) & ~text.has_cjk(desc))
         .otherwise(~text.language_mismatch(path, title, desc)).alias("language_matches"),
+        (F.size(uncovered) == 0).alias("covers_queries"),
     )

@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from serplens.operators import audit, extract, facts, ranking
+from serplens.operators import audit, extract, facts, narrow, ranking
 from serplens.params import Site
 from serplens.sources.storage import materialize
 
@@ -188,7 +188,7 @@ def _tag_if(condition: str, before: str, value: str, after: str = '">') -> str:
 #: Description and keywords of a page, from its own text without marks of its mark-up.
 OWN_TEXT = "replace(replace(replace(regexp_replace(html, '<[^>]*>', ' '), '&', ' '), '<', ' '), '>', ' ')"
 _DESCRIPTION = f"""CASE WHEN page_id % 7 = 0 THEN 'Explore ' ELSE '' END
-  || repeat('page ' || page_id || ' ', int(1 + page_id % 20)) || CASE WHEN page_id % 8 = 1 THEN {OWN_TEXT} ELSE '' END"""
+  || repeat('page ' || page_id || ' ', int(1 + page_id % 20)) || {OWN_TEXT}"""
 _URL = f"'{SITE.base_url}' || path"
 _BLOCK = "element_at(array(" + ", ".join(
     "NULL" if b is None else f"'{b}'" for b in JSON_LD) + f"), int(page_id % {len(JSON_LD)}) + 1)"
@@ -236,11 +236,16 @@ def tagged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_meta(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
-    """Extracted metadata, one row per path; ``only`` names the paths to parse."""
+    """Extracted metadata, one row per path; ``only`` names the paths to parse.
+
+    HTML is parsed where it is read: a bitmap of the wanted paths tells which, and the
+    exact join comes after, on rows without HTML.
+    """
     pages = tagged_pages(spark, sf_dir)
-    if only is not None:
-        pages = pages.join(only.select("path"), "path", "left_semi")
-    return extract.latest_per_path(extract.extract_metadata(pages))
+    if only is None:
+        return extract.latest_per_path(extract.extract_metadata(pages))
+    parsed = extract.extract_metadata(narrow.maybe_in(pages, only, "path"))
+    return extract.latest_per_path(parsed.join(only.select("path"), "path", "left_semi"))
 
 
 def audited(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,13 +256,20 @@ def audited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rewritten texts per page, derived from ``documents``."""
-    ids = table(spark, sf_dir, "pages").select("page_id")
-    docs = table(spark, sf_dir, "documents").selectExpr("doc_id AS page_id", "text")
-    return ids.join(docs, "page_id").selectExpr(
-        f"{PATH} AS path",
+    """Rewritten texts per page, from all ``documents``: dealt out to the pages by id.
+
+    The title is a page's last document, the description all of them in turn.
+    """
+    n_pages = table(spark, sf_dir, "pages").count()
+    texts = table(spark, sf_dir, "documents").where("text IS NOT NULL") \
+        .groupBy(F.expr(f"doc_id % {max(n_pages, 1)}").alias("page_id")) \
+        .agg(F.array_sort(F.collect_list(F.struct("doc_id", "text"))).alias("docs"))
+    return texts.selectExpr(
+        "page_id", f"{PATH} AS path", "element_at(docs, -1).text AS last", "array_join(docs.text, ' ') AS text",
+    ).selectExpr(
+        "path",
         """CASE WHEN page_id % 2 = 1 THEN '学科标题，' ELSE '' END
-           || text AS title""",
+           || last AS title""",
         """CASE WHEN page_id % 3 = 1 THEN '说明文字。' ELSE '' END
            || text AS description""",
         "CASE WHEN page_id % 4 <> 0 THEN 'term ' || page_id END AS keywords",

@@ -16,7 +16,7 @@ from serplens.functions import jsonld
 from serplens.operators import audit, crawl, extract, facts, ranking, update
 from serplens.plans import derived as d
 from serplens.plans import steps
-from serplens.sources import landing, reports, snapshots
+from serplens.sources import buckets, landing, reports, snapshots
 from serplens.sources.storage import discard_at_exit, materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,7 +131,7 @@ def csv_roundtrip(spark, sf_dir):
 def keyed_json_import(spark, sf_dir):
     """Page metadata as one object keyed by path, indented by two, read back entry by entry."""
     path = scratch_path(spark, "page_meta_keyed")
-    meta = d.page_meta(spark, sf_dir).select(*schemas.PAGE_META.names)
+    meta = materialize(d.page_meta(spark, sf_dir).select(*schemas.PAGE_META.names), "page_meta")
     fields = [c for c in meta.columns if c != "path"]
 
     def json(column: str) -> Column:
@@ -141,12 +141,11 @@ def keyed_json_import(spark, sf_dir):
 
     values = [F.concat(F.lit(f'    "{c}": '), json(c)) for c in fields]
     entry = F.concat(F.lit("  "), json("path"), F.lit(": {\n"), F.concat_ws(",\n", *values), F.lit("\n  }"))
-    last = meta.agg(F.max("path")).first()[0]
-    lines = meta.select(F.lit(1).alias("part"), "path", F.concat(
-        entry, F.when(F.col("path") == last, "").otherwise(",")).alias("line"))
-    ends = spark.createDataFrame([(0, "", "{"), (2, "", "}")], "part int, path string, line string")
-    # The format is a single object, so the fixture is a single file.
-    lines.unionByName(ends).coalesce(1).sortWithinPartitions("part", "path").select("line").write.text(path)
+    first, last = meta.agg(F.min("path"), F.max("path")).first()
+    line = F.concat(F.when(F.col("path") == first, "{\n").otherwise(""), entry,
+                    F.when(F.col("path") == last, "\n}").otherwise(","))
+    # One object in part files, in order of paths: the first opens it, the last closes it.
+    meta.repartitionByRange("path").sortWithinPartitions("path").select(line.alias("line")).write.text(path)
     discard_at_exit(spark, path)
     return _flat_meta(reports.import_keyed_json(
         spark, path, T.StructType([f for f in schemas.PAGE_META.fields if f.name != "path"])))
@@ -505,8 +504,13 @@ def schema_enrichment(spark, sf_dir):
 
 @query
 def metadata_merge(spark, sf_dir):
+    """A table merged in two runs, all pages and then the rewritten ones, read back."""
     run = _Rewrite(spark, sf_dir)
-    merged = update.merge_metadata(run.all_pages(), run.updated)
+    base = scratch_path(spark, "merged")
+    discard_at_exit(spark, base)
+    for rows in (materialize(run.all_pages(), "all_pages"), run.updated):
+        buckets.merge_rows(rows, base, "optimized_metadata", d.SITE.filter_tag, "path")
+    merged = buckets.read_merged(spark, base, "optimized_metadata", d.SITE.filter_tag, schemas.PAGE_META)
     return merged.select("path", "title", "meta_description", "og_title", "og_type")
 
 
@@ -525,4 +529,5 @@ def update_stats(spark, sf_dir):
 
 @query
 def update_acceptance(spark, sf_dir):
-    return update.acceptance(_Rewrite(spark, sf_dir).updated, d.SITE)
+    run = _Rewrite(spark, sf_dir)
+    return update.acceptance(run.updated, d.SITE, run.zero)

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from serplens import params, schemas
-from serplens.operators import audit, crawl, extract, facts, ranking, update
+from serplens.operators import audit, crawl, extract, facts, narrow, ranking, update
 from serplens.params import Site
-from serplens.sources import landing, snapshots
+from serplens.sources import buckets, landing, snapshots
 from serplens.sources.storage import materialize
 
 
@@ -23,22 +23,26 @@ def fetch_landed(site: Site, base: str, landed: DataFrame, as_of: date, run_date
     """Reports from landed responses (run_date, rows) of the site's date range before ``as_of``."""
     window = landing.date_window(site.date_range, as_of)
     rows = landing.flatten_responses(landing.in_window(landed, window), ["query", "page"])
-    # Both grains from one pass: the finer sums are written, the coarser are taken from them.
-    sums = materialize(facts.sum_facts(rows, ["query", "page"]), "landed_sums")
-    query_page, page = facts.as_metrics(sums), facts.roll_up(sums, ["page"])
-    counts = {"query_page_rows": query_page.count(), "page_rows": page.count()}
+    # Both grains from one pass: the finer sums are written, the coarser are taken from
+    # them, and both are counted as they are written.
+    fine, coarse = Observation(), Observation()
+    sums = materialize(facts.sum_facts(rows, ["query", "page"]).observe(fine, F.count(F.lit(1)).alias("n")), "landed_sums")
+    page = materialize(facts.roll_up(sums, ["page"]).observe(coarse, F.count(F.lit(1)).alias("n")), "landed_pages")
+    counts = {"query_page_rows": fine.get["n"], "page_rows": coarse.get["n"]}
     window_of = {"site": site.site_url, "first_day": window[0], "last_day": window[1]}
-    return window_of | counts | fetch(site, base, query_page, page, run_date)
+    return window_of | counts | fetch(site, base, facts.as_metrics(sums), page, run_date)
 
 
-def fetch(site: Site, base: str, query_page: DataFrame, page: DataFrame, run_date: date) -> dict:
-    """Zero-click and ranking reports from search facts of both grains.
+def _write_ranked(df: DataFrame, order: list[Column], site: Site, base: str, table: str, run_date: date) -> int:
+    """Write a report with its order as a column, for files have none of their own."""
+    ranked = ranking.with_global_rank(df, order, "report_rank")
+    return snapshots.write_snapshot(ranked, base, table, site.filter_tag, run_date)
 
-    The order of a report is kept as a column, for files have none of their own.
-    """
-    def write(df: DataFrame, order: list, table: str) -> int:
-        ranked = ranking.with_global_rank(df, order, "report_rank")
-        return snapshots.write_snapshot(ranked, base, table, site.filter_tag, run_date)
+
+def fetch(site: Site, base: str, query_page: DataFrame, page: DataFrame, run_date: date) -> dict:
+    """Zero-click and ranking reports from search facts of both grains; ``page`` is read several times."""
+    def write(df: DataFrame, order: list[Column], table: str) -> int:
+        return _write_ranked(df, order, site, base, table, run_date)
 
     return {
         "filter": site.filter_tag,
@@ -76,21 +80,27 @@ def _ranked(spark: SparkSession, site: Site, base: str) -> tuple[date, DataFrame
 def crawl_pages(site: Site, base: str, raw_pages: DataFrame, fetched: str | None = None) -> dict:
     """Metadata of the ranked pages out of landed HTML, and the crawl report.
 
-    ``fetched`` names the column that orders repeated fetches of a path; without
-    it, every path has to be there once.
+    Only pages whose path is ranked are parsed. ``fetched`` names the column that orders
+    repeated fetches of a path; without it, a successful one counts. The summary lists
+    the first pages without a title and without a description, and how many there are.
     """
     spark = raw_pages.sparkSession
     run_date, ranked = _ranked(spark, site, base)
-    pages = extract.extract_metadata(raw_pages)
-    if fetched:
-        pages = extract.latest_per_path(pages, fetched)
-    pages = materialize(crawl.in_priority_order(pages, ranked), "ranked_pages")
-    meta = pages.select(*schemas.PAGE_META.names)
-    report = crawl.crawl_rows(pages, site.base_url).orderBy("priority_rank", "path")
+    parsed = extract.extract_metadata(narrow.maybe_in(raw_pages, ranked, "path"))
+    # Ranked for certain, on rows without HTML.
+    pages = materialize(crawl.in_priority_order(extract.latest_per_path(parsed, fetched), ranked), "ranked_pages")
     tag = site.filter_tag
-    snapshots.write_snapshot(meta, base, "page_meta", tag, run_date)
-    snapshots.write_snapshot(report, base, "crawl_report", tag, run_date)
-    return crawl.coverage(pages).first().asDict()
+    snapshots.write_snapshot(pages.select(*schemas.PAGE_META.names), base, "page_meta", tag, run_date)
+    _write_ranked(crawl.crawl_rows(pages, site.base_url), [F.asc("priority_rank"), F.asc("path")],
+                  site, base, "crawl_report", run_date)
+    # Ten rows per kind.
+    missing = crawl.missing_samples(pages).collect()
+    samples = {}
+    for kind in ("title", "meta_description"):
+        rows = sorted((r for r in missing if r["field"] == kind), key=lambda r: (r["priority_rank"], r["path"]))
+        samples[f"without_{kind}"] = [r["path"] for r in rows]
+        samples[f"without_{kind}_total"] = rows[0]["missing_total"] if rows else 0
+    return crawl.coverage(pages).first().asDict() | samples
 
 
 def _inputs(spark: SparkSession, site: Site, base: str) -> tuple[date, DataFrame, DataFrame, DataFrame]:
@@ -122,10 +132,9 @@ def audit_metadata(spark: SparkSession, site: Site, base: str) -> dict:
     """Audit report and summary of the newest metadata."""
     run_date, meta, zero, ranked = _inputs(spark, site, base)
     audited = materialize(_audited(site, meta, zero, ranked), "audited")
-    snapshots.write_snapshot(
-        audit.audit_report(audited), base, "audit_report", site.filter_tag, run_date
-    )
     tag = site.filter_tag
+    placed = ranking.with_global_rank(audited, audit.audit_order(), "report_rank")
+    snapshots.write_snapshot(audit.audit_rows(placed, "report_rank"), base, "audit_report", tag, run_date)
     snapshots.write_snapshot(audit.audit_summary(audited), base, "audit_summary", tag, run_date)
     snapshots.write_snapshot(audit.issue_breakdown(audited), base, "issue_breakdown", tag, run_date)
     summary = audit.audit_summary(audited).first().asDict()
@@ -136,13 +145,20 @@ def audit_metadata(spark: SparkSession, site: Site, base: str) -> dict:
     return summary
 
 
+def _targets(ranked: DataFrame, meta: DataFrame, selection: str | int,
+             batch_size: int = params.REWRITE_BATCH_SIZE) -> tuple[DataFrame, DataFrame]:
+    """The selected pages, and the usable metadata of these alone."""
+    targets = materialize(update.rewrite_targets(ranked, selection, batch_size), "targets")
+    usable = meta.where(F.col("error").isNull()).join(targets.select("path"), "path", "left_semi")
+    return targets, usable
+
+
 def prepare_rewrite(spark: SparkSession, site: Site, base: str, selection: str | int = 30,
                     batch_size: int = params.REWRITE_BATCH_SIZE) -> tuple[DataFrame, DataFrame]:
-    """Rewrite contexts of the selected pages, and the targets without metadata."""
+    """Rewrite contexts of the selected pages, and the targets without metadata; only these pages are audited."""
     _, meta, zero, ranked = _inputs(spark, site, base)
-    targets = update.rewrite_targets(ranked, selection, batch_size)
-    usable = meta.where(F.col("error").isNull())
-    context = update.rewrite_context(targets, usable, zero, _audited(site, usable, zero, ranked))
+    targets, usable = _targets(ranked, meta, selection, batch_size)
+    context = update.rewrite_context(targets, usable, zero, _audited(site, usable, zero, targets))
     return context, update.skipped_targets(targets, usable)
 
 
@@ -152,27 +168,26 @@ def write_batches(context: DataFrame, path: str) -> None:
 
 
 def finish_rewrite(site: Site, base: str, rewritten: DataFrame, selection: str | int = 30) -> dict:
-    """Post-process rewritten texts and merge them into the optimised metadata."""
+    """Post-process rewritten texts and merge them into the optimised metadata.
+
+    Of the optimised metadata, a table merged run by run, only the buckets of the
+    rewritten pages are read and written.
+    """
     spark = rewritten.sparkSession
     tag = site.filter_tag
     run_date, meta, zero, ranked = _inputs(spark, site, base)
-    context, skipped = prepare_rewrite(spark, site, base, selection)
+    targets, usable = _targets(ranked, meta, selection)
+    usable = materialize(usable, "usable")
+    # Applying rewrites needs no audit.
+    context = update.rewrite_context(targets, usable, zero)
     current = materialize(
         update.apply_rewrites(context, rewritten, site, F.lit(run_date.isoformat())), "updated"
     )
-    originals = update.backup_originals(meta, current)
+    originals = update.backup_originals(usable, current)
     snapshots.write_snapshot(originals, base, "original_metadata", tag, run_date)
-    try:
-        last = snapshots.latest_run(spark, base, "optimized_metadata", tag)
-        previous = snapshots.read_snapshot(
-            spark, base, "optimized_metadata", tag, last, schemas.PAGE_META
-        )
-        # The previous run may be the very partition that is about to be replaced.
-        merged = materialize(update.merge_metadata(previous, current), "merged")
-    except FileNotFoundError:
-        merged = current
-    total = snapshots.write_snapshot(merged, base, "optimized_metadata", tag, run_date)
+    total = buckets.merge_rows(current, base, "optimized_metadata", tag, "path")
     stats = update.update_statistics(
-        _audited(site, originals, zero, ranked), _audited(site, current, zero, ranked), skipped
+        _audited(site, originals, zero, targets), _audited(site, current, zero, targets),
+        update.skipped_targets(targets, usable)
     )
     return stats.first().asDict() | {"total": total}

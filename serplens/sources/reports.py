@@ -8,8 +8,10 @@ from pyspark.sql import types as T
 
 from serplens import schemas
 
-#: Line breaks in a text and how they are written, the escape character first.
-_ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+#: Line breaks and U+0000 in a text and how they are written, the escape character first.
+_ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\0", "\\0"))
+#: What no text reads as: an unquoted empty field takes this value and becomes null.
+_NULL = "\0null\0"
 
 
 def with_report_headers(df: DataFrame) -> DataFrame:
@@ -35,12 +37,15 @@ def _escaped(value: Column) -> Column:
 
 
 def _unescaped(value: Column) -> Column:
-    """Undo ``_escaped``; a doubled escape character is set aside meanwhile."""
-    (backslash, doubled), *breaks = _ESCAPES
-    value = F.replace(value, F.lit(doubled), F.lit("\0"))
-    for plain, written in breaks:
-        value = F.replace(value, F.lit(written), F.lit(plain))
-    return F.replace(value, F.lit("\0"), F.lit(backslash))
+    """Undo ``_escaped``: doubled escape characters part the text, what is between them holds no others."""
+    (backslash, _), *others = _ESCAPES
+
+    def piece(part: Column) -> Column:
+        for plain, written in others:
+            part = F.replace(part, F.lit(written), F.lit(plain))
+        return part
+
+    return F.array_join(F.transform(F.split(value, r"\\\\", -1), piece), backslash)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -79,7 +84,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
     df = (
         spark.read.schema(as_written)
         .option("header", True).option("escape", '"').option("multiLine", multi_line)
-        .option("nullValue", "\u0000").option("emptyValue", "")
+        .option("nullValue", _NULL).option("emptyValue", "")
         .csv(path)
     )
 

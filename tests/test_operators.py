@@ -1,15 +1,17 @@
 """Relational operators against brute force on small fixtures, and their plans."""
 
 import random
+import statistics
 from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
 from serplens import schemas
-from serplens.operators import audit, crawl, facts, ranking, update
+from serplens.operators import audit, crawl, facts, narrow, ranking, update
 from serplens.params import Site
 from serplens.plans import derived
+from serplens.plans.queries import REGISTRY
 
 TYPES = (("Course", ("/course/",)),)
 CONTENT = (("keyword", "/course/keyword/"), ("course_article", "/course/"))
@@ -87,7 +89,7 @@ def test_roll_up_weights_positions_and_composes(spark):
 def test_segments_use_the_interpolated_median(spark):
     rows = [(WWW + f"/{i}", c, i, 0.0, 1.0) for i, c in ((1, 1), (2, 1), (4, 0), (5, 1))]
     df = spark.createDataFrame(rows, schemas.SEARCH_PAGE)
-    assert facts.median_of(df, "impressions").first()[0] == 3.0
+    assert facts.median_of(df, "impressions") == 3.0
     got = {r["path"]: r["segment"] for r in facts.ranking_report(df, SITE).collect()}
     assert got == {"/1": "无需求", "/2": "无需求", "/4": "有需求无转化", "/5": "有需求有转化"}
     odd = spark.createDataFrame(rows[:3], schemas.SEARCH_PAGE)
@@ -95,6 +97,17 @@ def test_segments_use_the_interpolated_median(spark):
     assert got["/2"] == "无需求"  # the median itself is no demand, clicks or not
 
 
+def test_selection_finds_every_place(spark, monkeypatch):
+    monkeypatch.setattr(facts, "SELECTION_RANGES", 5)
+    rng = random.Random(6)
+    for values in ([], [4], [4, 9], [7] * 30, [-3, 10**15, 0, 0, 5], [rng.randrange(-50, 900) for _ in range(301)] + [12] * 150):
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v bigint").repartition(3)
+        assert facts.median_of(df, "v") == (statistics.median(values) if values else None)
+        if values:
+            places = sorted({0, len(values) // 3, len(values) - 1})
+            assert facts.values_at(df, "v", places, min(values), max(values)) == [sorted(values)[p] for p in places]
+
+
 def test_ranking_of_nothing(spark):
     empty = spark.createDataFrame([], schemas.SEARCH_PAGE)
     ranked = ranking.priority_ranking(
@@ -198,6 +211,56 @@ def test_python_runs_only_for_extraction(spark, tiny):
         assert "Python" not in plan(df) and "MapIn" not in plan(df)
 
 
+def nodes(plan):
+    """All nodes of a physical plan as it was first made."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return nodes(plan.initialPlan())
+    children = plan.children()
+    return [plan] + [n for i in range(children.size()) for n in nodes(children.apply(i))]
+
+
+@pytest.mark.parametrize("key", [
+    "crawl_report", "rewrite_context", "rewrite_skipped", "metadata_update", "schema_enrichment",
+    "metadata_merge", "metadata_backup", "update_stats", "update_acceptance"])
+def test_html_is_never_shuffled(spark, tiny, monkeypatch, key):
+    """Without broadcasts by size, no exchange of what a query parses, or of what is parsed, holds HTML."""
+    parsed = []
+    extract_metadata = derived.extract.extract_metadata
+
+    def seen(pages, *more):
+        parsed.append(extract_metadata(pages, *more))
+        return parsed[-1]
+
+    monkeypatch.setattr(derived.extract, "extract_metadata", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        result = REGISTRY[key](spark, tiny)
+        plans = [nodes(df._jdf.queryExecution().executedPlan()) for df in (*parsed, result)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert parsed and any("Exchange" in n.nodeName() for p in plans for n in p)
+    for node in (n for p in plans for n in p if "Exchange" in n.nodeName()):
+        assert "html" not in node.output().mkString(" ")
+
+
+def test_bitmap_keeps_every_wanted_row(spark):
+    rows = spark.range(5000).selectExpr("id", "CASE WHEN id % 9 > 0 THEN 'p' || id END AS path", "repeat('x', 50) AS html")
+    wanted = spark.range(0, 5000, 7).selectExpr("'p' || id AS path", "1 AS page")
+    kept = {r["id"] for r in narrow.maybe_in(rows, wanted, "path", pages=1).collect()}
+    needed = {i for i in range(0, 5000, 7) if i % 9}
+    assert needed <= kept and len(kept) < len(needed) + 200
+    assert narrow.maybe_in(rows, wanted.where("false"), "path").count() == 0
+    assert narrow.maybe_in(rows, wanted, "path").columns == rows.columns
+
+
+def test_acceptance_wants_queries_in_the_description(spark):
+    updated = meta_frame(spark, [("/en/a", {"title": "red wine | B", "meta_description": "all about red", "meta_keywords": "wine"}),
+                                 ("/en/b", {"title": "t | B", "meta_description": "Best RED wine list"}), ("/en/c", {"title": "t"})])
+    zero = spark.createDataFrame([("/en/a", "red wine", 5, 1.0, 5, 0), ("/en/b", "red wine shop", 5, 1.0, 5, 0)], schemas.ZERO_CLICK)
+    got = {r["path"]: r["covers_queries"] for r in update.acceptance(updated, SITE, zero).collect()}
+    assert got == {"/en/a": False, "/en/b": True, "/en/c": True}
+
+
 def test_date_window_prunes_partitions(spark, tiny, tmp_path):
     from serplens.sources.landing import in_window
 

@@ -168,6 +168,16 @@ def test_numbers_that_stricter_readers_refuse(spark):
     assert df.where(F.try_parse_json("b").isNull()).count() == 0
 
 
+def test_blocks_of_any_depth_are_kept():
+    n = 100_000
+    for opened, closed, kept in (("[", "]", "["), ('{"a":', "}", '{"a": ')):
+        block = page_reader.valid_json('{"@type":"Article","x":' + opened * n + "1" + closed * n + ',"y":"]}\\"["}')
+        assert block.startswith('{"@type": "Article", "x": ' + kept) and block.endswith('"y": "]}\\"["}')
+        assert block.count(kept.strip()) < 2 * page_reader.MAX_DEPTH
+    for broken in ("[" * n, "[" * n + "]" * (n - 1) + "}", "[" * n + "}" * n, "[" * n + "]" * n + "x"):
+        assert page_reader.valid_json(broken) is None
+
+
 def test_unclosed_tags_take_linear_time():
     def seconds(n):
         text = "<html><head></head><body>" + "<div>a</i>" * n

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from serplens import schemas
 from serplens.operators import facts
 from serplens.plans import derived, steps
-from serplens.sources import landing, reports, snapshots, storage
+from serplens.sources import buckets, landing, reports, snapshots, storage
 
 
 def test_responses(spark, tmp_path):
@@ -52,7 +52,7 @@ def test_report_headers(spark):
 
 
 def test_csv_keeps_texts_and_large_integers(spark, tmp_path):
-    texts = ["two\nlines", "a\\nb", "\\", "\r\n", "\\\n", 'say "x", y', ""]
+    texts = ["two\nlines", "a\\nb", "\\", "\r\n", "\\\n", 'say "x", y', "", "\0", "a\0b", "\\0", "\\\\\0\n"]
     rows = [(t, 9007199254740993 - i) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "t string, n bigint")
     reports.write_csv(df, str(tmp_path / "c"))
@@ -105,6 +105,48 @@ def test_snapshots(spark, tmp_path):
         snapshots.latest_run(spark, base + "/none", "a", "all")
 
 
+def test_a_failed_run_leaves_the_old_one(spark, tmp_path):
+    base, day, schema = str(tmp_path), date(2026, 1, 9), spark.range(1).schema
+    snapshots.write_snapshot(spark.range(3), base, "a", "all", day)
+    before = snapshots.read_snapshot(spark, base, "a", "all", day, schema)
+    bad = spark.range(100).where("id < 7 OR raise_error('lost') IS NULL")
+    with pytest.raises(Exception, match="lost"):
+        snapshots.write_snapshot(bad, base, "a", "all", day)
+    assert snapshots.read_snapshot(spark, base, "a", "all", day, schema).count() == before.count() == 3
+    snapshots.write_snapshot(spark.range(5), base, "a", "all", day)
+    # A reader that began before keeps its rows, one that begins now has the new ones.
+    assert before.count() == 3
+    assert snapshots.read_snapshot(spark, base, "a", "all", day, schema).count() == 5
+    with pytest.raises(FileNotFoundError):
+        snapshots.read_snapshot(spark, base, "a", "all", date(2026, 1, 10), schema)
+
+
+def test_merge_rewrites_touched_buckets_only(spark, tmp_path):
+    base = str(tmp_path)
+
+    def rows(ids, value):
+        return spark.createDataFrame([(f"/p{i}", value) for i in ids], "path string, v string")
+
+    def files():
+        return {str(f): f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet")}
+
+    def table():
+        return {r["path"]: r["v"] for r in buckets.read_merged(spark, base, "t", "all", rows([], "").schema).collect()}
+
+    assert table() == {}
+    assert buckets.merge_rows(rows(range(500), "old"), base, "t", "all", "path", 100) == 500
+    before, all_files = table(), files()
+    assert buckets.merge_rows(rows(range(495, 505), "new"), base, "t", "all", "path", 7) == 505
+    assert all_files.items() <= files().items() and len(files()) <= len(all_files) + 10
+    expected = before | {f"/p{i}": "new" for i in range(495, 505)}
+    assert table() == expected
+    assert buckets.merge_rows(rows([], ""), base, "t", "all", "path") == 505
+    failing = rows(range(3), "bad").withColumn("v", F.expr("raise_error('lost')").cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        buckets.merge_rows(failing, base, "t", "all", "path")
+    assert table() == expected
+
+
 def test_shared_folder_is_the_named_one(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert storage.shared_dir(spark) == (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
@@ -122,8 +164,16 @@ def test_steps_end_to_end(spark, tiny, tmp_path):
 
     crawled = steps.crawl_pages(site, base, derived.tagged_pages(spark, tiny), "fetched_at")
     assert crawled["total_pages"] == ranked["rows"]
+    assert crawled["without_title_total"] == crawled["total_pages"] - crawled["title"]
+    assert len(crawled["without_title"]) == min(10, crawled["without_title_total"])
+    for table in ("crawl_report", "audit_report"):
+        if table == "audit_report":
+            audited = steps.audit_metadata(spark, site, base)
+        path = next((tmp_path / table).glob("*/*/*"))
+        report = spark.read.parquet(str(path)).orderBy("report_rank").collect()
+        assert [r["report_rank"] for r in report] == list(range(1, ranked["rows"] + 1))
+        assert [(r["priority_rank"], r["path"]) for r in report] == sorted((r["priority_rank"], r["path"]) for r in report)
 
-    audited = steps.audit_metadata(spark, site, base)
     assert audited["total_pages"] == audited["pages_with_issues"] + audited["pages_clean"]
     assert sum(audited["issue_breakdown"].values()) >= audited["pages_with_issues"]
     assert snapshots.latest_run(spark, base, "audit_summary", "all") == derived.RUN_DATE
@@ -142,7 +192,7 @@ def test_steps_end_to_end(spark, tiny, tmp_path):
     second = steps.finish_rewrite(site, base, rewritten, "2-4")
     assert first["processed"] + first["skipped"] == 2
     assert second["total"] >= first["total"] and second["title_chars_after"] > 0
-    merged = snapshots.read_snapshot(spark, base, "optimized_metadata", "all", derived.RUN_DATE, schemas.PAGE_META)
+    merged = buckets.read_merged(spark, base, "optimized_metadata", "all", schemas.PAGE_META)
     assert merged.count() == merged.select("path").distinct().count() == second["total"]
     assert merged.where(~F.col("title").endswith(site.brand_suffix)).count() == 0
 
