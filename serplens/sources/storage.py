@@ -32,10 +32,21 @@ def discard_at_exit(spark: SparkSession, path: str) -> None:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
-    Unlike a checkpoint, the Parquet table still prunes columns for each reader.
+    Unlike a checkpoint, the Parquet table still prunes columns for each reader. It
+    stays until the application ends, or until ``release``.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
     discard_at_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.scratch = path
+    return written
+
+
+def release(*written: DataFrame) -> None:
+    """Remove tables of ``materialize`` that no later job reads."""
+    for df in written:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(df.scratch)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
