@@ -34,7 +34,7 @@ ANCHORS, ANCHOR_SHARE = 256, 8
 ANCHOR_CHARS = 24
 CHAIN, SPACING = 3, 1
 #: Hexadecimal digits of a signature.
-DIGITS = 12
+DIGITS = 10
 #: Similarity from which texts count as near, in ``similar``.
 NEAR = 0.75
 #: Ranges of ids per shuffle partition, so that hashing ranges to partitions deals evenly.
@@ -194,14 +194,24 @@ def _range_of(docs: DataFrame, count: int) -> Column:
     return number + F.coalesce(_SPLITS + F.least(times - 1, upper), F.lit(0))
 
 
-def with_next(rows: DataFrame) -> DataFrame:
-    """``rows`` (of ``fingerprints``) with next_text and next_fingerprint, those of the next row.
+def packed(fingerprint: Column) -> Column:
+    """A fingerprint as bytes, which shuffle in less than half the space of text."""
+    return F.unhex(F.array_join(fingerprint, ""))
+
+
+def unpacked(value: Column) -> Column:
+    return F.regexp_extract_all(F.lower(F.hex(value)), F.lit(f".{{{DIGITS}}}"), F.lit(0))
+
+
+def with_next(docs: DataFrame, anchors: list[str], chain: int = CHAIN, spacing: int = SPACING) -> DataFrame:
+    """``fingerprints`` of ``docs`` with next_text and next_fingerprint, those of the next row.
 
     The order is by doc_id descending, then text_hash; the last row's next is the first.
-    Ranges of rows are ordered apart, so texts are shuffled once. What a range's last row
-    needs is the first row of the next range; these, one per range, are fetched and joined.
+    Ranges of rows are ordered apart, so texts are shuffled once. Behind a range's last
+    row comes a copy of the first row of the next range; there is one such copy per range.
     """
-    ranges = RANGES * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = keyed(docs)
     ids = rows.select("doc_id", "text_hash")
     number = _range_of(ids, ranges)
     # One row per range here and below.
@@ -210,18 +220,18 @@ def with_next(rows: DataFrame) -> DataFrame:
     everything = Window.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     firsts = highest.select(
         F.col("top.doc_id").alias("_id"), F.col("top.text_hash").alias("_hash"),
-        F.coalesce(F.lag("_range").over(Window.orderBy(F.desc("_range"))), F.last("_range").over(everything)).alias("_before"))
-    heads = materialize(
-        rows.join(F.broadcast(firsts), F.expr("doc_id <=> _id AND text_hash = _hash"))
-        .select("_before", F.col("text").alias("_text"), F.col("fingerprint").alias("_print"))
-        .dropDuplicates(["_before"]), "range_heads")
-    in_range = Window.partitionBy("_range").orderBy(F.desc_nulls_last("doc_id"), F.asc("text_hash"))
-    led = rows.withColumn("_range", number).withColumns({
-        "next_text": F.lead("text").over(in_range), "next_fingerprint": F.lead("fingerprint").over(in_range)})
-    return led.withColumn("_at", F.when(F.col("next_text").isNull(), F.col("_range"))) \
-        .join(heads, F.col("_at") == F.col("_before"), "left") \
-        .withColumns({"next_text": F.coalesce("next_text", "_text"), "next_fingerprint": F.coalesce("next_fingerprint", "_print")}) \
-        .drop("_range", "_at", "_before", "_text", "_print")
+        F.coalesce(F.lag("_range").over(Window.orderBy(F.desc("_range"))), F.last("_range").over(everything)).alias("_range"))
+    heads = rows.join(F.broadcast(firsts), F.expr("doc_id <=> _id AND text_hash = _hash")).drop("_id", "_hash")
+
+    def printed(texts: DataFrame, copy: bool) -> DataFrame:
+        found = with_signatures(texts, "text", "fingerprint", anchors, chain, spacing)
+        return found.withColumns({"fingerprint": packed(F.col("fingerprint")), "_copy": F.lit(copy)})
+
+    in_range = Window.partitionBy("_range").orderBy("_copy", F.desc_nulls_last("doc_id"), F.asc("text_hash"))
+    placed = printed(rows.withColumn("_range", number), False).unionByName(printed(heads, True))
+    return placed.withColumns({"next_text": F.lead("text").over(in_range), "next_fingerprint": F.lead("fingerprint").over(in_range)}) \
+        .where("NOT _copy").drop("_range", "_copy") \
+        .withColumns({c: unpacked(F.col(c)) for c in ("fingerprint", "next_fingerprint")})
 
 
 def compared_with_edits(docs: DataFrame, anchors: list[str] | None = None, chain: int = CHAIN,
@@ -238,7 +248,7 @@ def compared_with_edits(docs: DataFrame, anchors: list[str] | None = None, chain
     """
     anchors = common_words(docs) if anchors is None else anchors
     filled = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    led = with_next(fingerprints(filled, anchors, chain, spacing))
+    led = with_next(filled, anchors, chain, spacing)
     edited = led.withColumn("n_chars", F.length("text").cast("long")).withColumn("edited", F.expr(
         "concat(substring(text, 1, int(n_chars - n_chars div 2)), substring(next_text, 1, int(n_chars div 2)))"))
     return with_signatures(edited, "edited", "edited_fingerprint", anchors, chain, spacing).select(
