@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from serplens.sources.storage import materialize
+from serplens.sources.storage import materialize, release
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     """
     edges = links.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    before = None
+    before = last = None
     while True:
         seen = Observation()
         edges = materialize(
@@ -39,6 +39,9 @@ def connected_components(links: DataFrame) -> DataFrame:
                 seen, F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x")),
             "components")
         now = seen.get
+        if last is not None:
+            release(last)
+        last = edges
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())

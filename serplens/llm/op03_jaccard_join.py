@@ -41,10 +41,11 @@ from pyspark.sql import functions as F
 from serplens.llm import wordhash
 from serplens.llm.components import connected_components
 from serplens.llm.tables import join_rows, keyed
-from serplens.sources.storage import materialize
+from serplens.sources.storage import materialize, release
 
 #: Share of all shingle hashes that the screen looks at; it must exceed ``1 - num/den``.
-SCREEN_SHARE = 0.6
+#: At 0.4 a node stays if three in eight of them occur in another.
+SCREEN_SHARE = 0.4
 MAX_MATCHES = 8
 HUBS_PER_NODE = 3
 #: Verifying a candidate costs about this many posting entries per shingle of the node.
@@ -146,8 +147,11 @@ def _in_bitmap(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
 
 
 def _rows_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The ``rows`` (doc_id, text_hash, ...) that stand for ``nodes``."""
-    return join_rows(_in_bitmap(rows, nodes, "text_hash"), nodes.select("doc_id", "text_hash"), "left_semi")
+    """The ``rows`` (doc_id, text_hash, ...) that stand for ``nodes``, of which each names another row.
+
+    An inner join: the optimizer would push a semi-join below the bitmap, and shuffle all texts.
+    """
+    return join_rows(_in_bitmap(rows, nodes, "text_hash"), nodes.select("doc_id", "text_hash"), "inner")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
@@ -318,16 +322,20 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
     signed = materialize(signatures(docs, k), "signatures")
     survivors = materialize(_survivors(docs, signed, k, num, den, share), "survivors")
     sets = materialize(_sets(docs, survivors, k), "shingle_sets")
+    release(survivors)
     profiles = materialize(_profiles(sets, num, den), "prefixes")
     postings = _postings(profiles)
 
     def links(pairs):
-        return materialize(_verified(pairs, sets, num, den), "links")
+        found = materialize(_verified(pairs, sets, num, den), "links")
+        release(pairs)
+        return found
 
     near = links(materialize(_star_pairs(postings, num, den), "star_pairs"))
-    labels = connected_components(near)
-    other = materialize(_remaining_pairs(postings, labels, num, den), "other_pairs")
+    contracted = connected_components(near)
+    other = materialize(_remaining_pairs(postings, contracted, num, den), "other_pairs")
     far = links(materialize(_enough_matches(other, profiles, num, den), "other_pairs"))
+    release(other, profiles, sets)
     labels = connected_components(near.unionByName(far))
 
     classes = signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("class_id"))
