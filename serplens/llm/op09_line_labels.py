@@ -7,9 +7,11 @@ content or boilerplate, and the share of words in content lines decides whether
 the document stays.
 
 The field is fitted on at most ``TRAIN_ROWS`` labelled documents, those with the
-smallest hash of their id: lines take the label of their document. Lines that look
-like the rest of the corpus occur mostly in good documents, so they are learnt as
-content wherever they stand.
+smallest hash of their id, and on all lines of these. Lines take the label of their
+document. Lines that look like the rest of the corpus occur mostly in good documents, so
+they are learnt as content wherever they stand. How labels follow one another is
+learnt from seeds: a first fit of single lines labels every line by itself, and pairs of
+neighbours are counted. (Documents' labels would say that labels never change.)
 """
 
 from __future__ import annotations
@@ -25,10 +27,8 @@ from serplens.llm import wordhash
 
 #: Bound of the fitting sample.
 TRAIN_ROWS = 4000
-#: Lines of one labelled document that the fit uses.
-TRAIN_LINES = 64
-#: Largest score for keeping or changing the label from line to line.
-MAX_CHANGE = 0.5
+#: Lines of a chain in the fit: longer documents are fitted as several chains.
+CHAIN_LINES = 128
 #: A document stays if at least this share of its words is in content lines.
 CONTENT_SHARE = 0.5
 #: The base rule: fewer words than this, or more than this percentage of repeats.
@@ -122,77 +122,127 @@ class Field:
 NO_FIELD = Field(np.zeros((N_FEATURES, 2)), np.zeros(2), np.zeros((2, 2)))
 
 
-def fit(documents: list[tuple[np.ndarray, int]], rounds: int = 40, rate: float = 0.2, decay: float = 1e-4) -> Field:
-    """Maximum likelihood of the labels (every line of a document has its label), by adaptive steps.
+class _Chains:
+    """Chains of about equal length, padded to the longest, with their lines' features."""
+
+    def __init__(self, chains: list[tuple[np.ndarray, int, float, bool]]):
+        """``chains``: features, label, weight of a line, whether it begins a document."""
+        lengths = np.array([len(f) for f, *_ in chains])
+        self.real = np.arange(lengths.max())[None, :] < lengths[:, None]
+        self.flat = np.concatenate([f for f, *_ in chains])
+        self.labels = np.array([y for _, y, *_ in chains])
+        self.weight = np.array([w for _, _, w, _ in chains])
+        self.begins = np.array([b for *_, b in chains], dtype=float)
+        self.of = np.repeat(np.arange(len(chains)), lengths)
+        self.gold = np.zeros((len(chains), 2))
+        self.gold[np.arange(len(chains)), self.labels] = 1
+
+    def expected(self, field: Field) -> np.ndarray:
+        """Probability of each label at every place, given the whole chain."""
+        real, change = self.real, field.change
+        n, longest = real.shape
+        line = np.zeros((n, longest, 2))
+        line[real] = field.scores(self.flat)
+        ahead, behind = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
+        ahead[:, 0] = line[:, 0] + self.begins[:, None] * field.first
+        for t in range(1, longest):
+            into = np.logaddexp(ahead[:, t - 1, :1] + change[0], ahead[:, t - 1, 1:] + change[1]) + line[:, t]
+            ahead[:, t] = np.where(real[:, t, None], into, ahead[:, t - 1])
+            back = longest - 1 - t
+            after = line[:, back + 1] + behind[:, back + 1]
+            out = np.logaddexp(after[:, :1] + change[:, 0], after[:, 1:] + change[:, 1])
+            behind[:, back] = np.where(real[:, back + 1, None], out, 0)
+        total = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
+        return np.exp(ahead + behind - total[:, None, None])
+
+
+def _chains(documents: list[tuple[np.ndarray, int]]) -> list[_Chains]:
+    """All lines in chains, those of a length up to the same power of two together.
 
-    Forward and backward sums run over all documents at once, one line at a time;
-    documents are padded to the longest. Both labels weigh the same in total. As all
-    lines of a document share a label here, scores of changes are kept within bounds:
-    else one odd line would decide for all.
+    Both labels weigh the same in total, and within a label every document.
     """
-    documents = [(f, y) for f, y in documents if len(f)]
-    labels = np.array([y for _, y in documents], dtype=np.int64)
-    if len(set(labels.tolist())) < 2:
-        return NO_FIELD
-    n, longest = len(documents), max(len(f) for f, _ in documents)
-    lengths = np.array([len(f) for f, _ in documents])
-    grid = np.zeros((n, longest, len(FEATURES)), np.int64)
-    for i, (f, _) in enumerate(documents):
-        grid[i, :len(f)] = f
-    real = np.arange(longest)[None, :] < lengths[:, None]
-    weight = np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.5 / (labels == 0).sum()) / lengths
-    flat, of_doc = grid[real], np.repeat(np.arange(n), lengths)
-    gold = np.zeros((n, 2))
-    gold[np.arange(n), labels] = 1
-    params = [np.zeros((N_FEATURES, 2)), np.zeros(2), np.zeros((2, 2))]
+    n = [sum(y == label for _, y in documents) for label in (0, 1)]
+    by_size: dict[int, list] = {}
+    for f, y in documents:
+        for i in range(0, len(f), CHAIN_LINES):
+            part = f[i:i + CHAIN_LINES]
+            by_size.setdefault(int(len(part) - 1).bit_length(), []).append((part, y, 0.5 / n[y] / len(f), i == 0))
+    return [_Chains(by_size[size]) for size in sorted(by_size)]
+
+
+def _fitted(groups: list[_Chains], change: np.ndarray, rounds: int, rate: float, decay: float) -> Field:
+    """Scores of features and of first lines, for given scores of changes, by adaptive steps of likelihood."""
+    field = Field(np.zeros((N_FEATURES, 2)), np.zeros(2), change)
+    params = (field.emit, field.first)
     squares = [np.zeros_like(p) for p in params]
     for _ in range(rounds):
-        emit, first, change = params
-        line = np.zeros((n, longest, 2))
-        line[real] = emit[flat].sum(axis=1)
-        ahead, behind = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
-        ahead[:, 0] = line[:, 0] + first
-        for t in range(1, longest):
-            step = np.logaddexp.reduce(ahead[:, t - 1, :, None] + change, axis=1) + line[:, t]
-            ahead[:, t] = np.where(real[:, t, None], step, ahead[:, t - 1])
-        for t in range(longest - 2, -1, -1):
-            step = np.logaddexp.reduce(change + (line[:, t + 1] + behind[:, t + 1])[:, None, :], axis=2)
-            behind[:, t] = np.where(real[:, t + 1, None], step, 0)
-        total = np.logaddexp.reduce(ahead[:, -1], axis=1)
-        here = np.exp(ahead + behind - total[:, None, None]) * real[..., None]
-        off = (gold[of_doc] - here[real]) * weight[of_doc, None]
-        grads = [np.zeros_like(p) for p in params]
-        for j in range(len(FEATURES)):
-            np.add.at(grads[0], flat[:, j], off)
-        grads[1] = ((gold - here[:, 0]) * weight[:, None]).sum(axis=0)
-        pairs = np.exp(ahead[:, :-1, :, None] + change + (line[:, 1:] + behind[:, 1:])[:, :, None, :]
-                       - total[:, None, None, None]) * real[:, 1:, None, None]
-        both = gold[:, :, None] * gold[:, None, :]
-        grads[2] = ((both * (lengths - 1)[:, None, None] - pairs.sum(axis=1)) * weight[:, None, None]).sum(axis=0)
+        grads = [-decay * p for p in params]
+        for g in groups:
+            here = g.expected(field)
+            off = (g.gold[g.of] - here[g.real]) * g.weight[g.of, None]
+            for label in (0, 1):
+                grads[0][:, label] += np.bincount(g.flat.ravel(), np.repeat(off[:, label], g.flat.shape[1]), N_FEATURES)
+            grads[1] += ((g.gold - here[:, 0]) * (g.weight * g.begins)[:, None]).sum(axis=0)
         for p, g, s in zip(params, grads, squares):
-            g -= decay * p
             s += g * g
             p += rate * g / np.sqrt(s + 1e-12)
-        np.clip(params[2], -MAX_CHANGE, MAX_CHANGE, out=params[2])
-    return Field(*params)
+    return field
+
+
+def changes(documents: list[tuple[np.ndarray, int]], seeds: Field) -> np.ndarray:
+    """Scores of pairs of labels, from how often neighbours have equal ones when lines are labelled one by one.
+
+    A quarter of the log odds ratio of the four counts, for or against; what is left of a pair's score favours one
+    label, and that is for the features to learn. Documents of both labels weigh the
+    same in total; a document of one label throughout counts as well.
+    """
+    pairs = np.zeros((2, 2))
+    n = [sum(y == label for _, y in documents) for label in (0, 1)]
+    for features, y in documents:
+        scores = seeds.scores(features)
+        labels = (scores[:, 1] >= scores[:, 0]).astype(int)
+        if len(labels) > 1:
+            np.add.at(pairs, (labels[:-1], labels[1:]), 1 / n[y] / (len(labels) - 1))
+    pairs = pairs / max(pairs.sum(), 1e-9) + 0.01
+    same = np.log(pairs[0, 0] * pairs[1, 1] / (pairs[0, 1] * pairs[1, 0])) / 4
+    return np.array([[same, -same], [-same, same]])
+
+
+def fit(documents: list[tuple[np.ndarray, int]], rounds: int = 60, rate: float = 0.2, decay: float = 1e-4) -> Field:
+    """A field of maximum likelihood, where every line of a document has its label.
+
+    First each line is a chain of its own; the labels it gives its lines are the seeds of
+    the scores of changes. With these, features are fitted again, by forward and
+    backward sums over whole chains. All lines take part; documents are cut into chains
+    of at most ``CHAIN_LINES``, so memory follows the number of lines.
+    """
+    documents = [(f, y) for f, y in documents if len(f)]
+    if len({y for _, y in documents}) < 2:
+        return NO_FIELD
+    groups = _chains(documents)
+    alone = _fitted(groups, np.zeros((2, 2)), rounds, rate, decay)
+    return _fitted(groups, changes(documents, alone), rounds, rate, decay)
 
 
 def training_lines(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list[tuple[np.ndarray, int]]:
-    """Line features and label of at most ``rows`` labelled documents, the same ones in every run."""
+    """Features of all lines, and the label, of at most ``rows`` labelled documents, the same ones in every run.
+
+    Of rows that repeat a labelled id the one with the least text counts.
+    """
     chosen = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)") \
         .groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality")) \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
     def run(batches):
         for batch in batches:
-            features = [document_lines((t or "").encode())[0][:TRAIN_LINES].astype("<i2").tobytes()
+            features = [document_lines((t or "").encode())[0].astype("<i2").tobytes()
                         for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(features, pa.binary()), batch.column(2)],
                                              names=["doc_id", "features", "quality"])
 
-    found = docs.select("doc_id", "text").join(chosen, "doc_id") \
-        .mapInArrow(run, "doc_id bigint, features binary, quality int").toPandas() \
-        .sort_values(["doc_id", "features"])
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id") \
+        .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality")) \
+        .mapInArrow(run, "doc_id bigint, features binary, quality int").toPandas().sort_values("doc_id")
     return [(np.frombuffer(f, "<i2").astype(np.int64).reshape(-1, len(FEATURES)), int(q))
             for f, q in zip(found["features"], found["quality"])]
 
