@@ -71,28 +71,45 @@ ENCODINGS = (
 )
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def matches(text: Column, pattern: str, groups: tuple[int, ...] = (0,)) -> Column:
     """array<struct<start, stop, g0, ...>> of all matches in order, in code points.
 
     The pieces between matches come from ``split``. Pieces and matches are paired
     and walked once, every match starting where the last one stopped plus its piece.
+    A list that grows step by step is copied at every step, so pairs are walked in as
+    many stretches as a stretch has pairs: each starts from the sum of lengths before it.
     """
     names = [f"g{g}" for g in groups]
     paired = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), *[
         F.regexp_extract_all(text, F.lit(pattern), F.lit(g)).alias(n) for g, n in zip(groups, names)])
     entry = "struct<start:int,stop:int," + ",".join(f"{n}:string" for n in names) + ">"
+    nothing = F.array().cast(f"array<{entry}>")
 
-    def walk(done, pair):
+    def walk(done, pair, base):
         pair = [pair[n] for n in ("gap", *names)]
-        start = F.coalesce(F.try_element_at(done, F.lit(-1))["stop"], F.lit(0)) + F.length(pair[0])
+        start = F.coalesce(F.try_element_at(done, F.lit(-1))["stop"], base) + F.length(pair[0])
         here = F.struct(start.alias("start"), (start + F.length(pair[1])).alias("stop"),
                         *[p.alias(n) for p, n in zip(pair[1:], names)])
         # The piece after the last match stands alone.
         return F.when(pair[1].isNull(), done).otherwise(F.concat(done, F.array(here)))
 
-    nothing = F.array().cast(f"array<{entry}>")
+    def walked(pairs):
+        step = F.ceil(F.sqrt(F.size(pairs))).cast("int")
+        starts = F.sequence(F.lit(1), F.size(pairs), step)
+        sums = F.transform(starts, lambda s: F.aggregate(
+            F.slice(pairs, s, step), F.lit(0),
+            lambda a, p: a + F.length(p["gap"]) + F.coalesce(F.length(p["g0"]), F.lit(0))))
+        before = F.aggregate(sums, F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
+        return _bound(before, lambda bases: F.flatten(F.transform(starts, lambda s, k: F.aggregate(
+            F.slice(pairs, s, step), nothing, lambda done, pair: walk(done, pair, F.get(bases, k))))))
+
     # Texts without a match, nearly all, are only scanned once.
-    return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(paired, nothing, walk)).otherwise(nothing)
+    return F.when(F.rlike(text, F.lit(pattern)), _bound(paired, walked)).otherwise(nothing)
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
