@@ -7,14 +7,18 @@ is made of the ids' counts in all documents and is stored beside the blocks as
 all a reader needs. A block is decoded by one table look-up per id, for all its
 checkpoints at once.
 
-Texts are cut at ASCII white space before they are tokenised, and workers remember
-the ids of distinct words: the tokenizer never joins across white space.
+Where the tokenizer's file says that white space is dropped, texts are cut there and
+workers remember the ids of distinct words, by a 64-bit hash of their bytes: a slice of
+texts is hashed, looked up and gathered as arrays. Any other file's tokenizer is given
+whole texts.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,14 +26,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from serplens.llm import wordhash
 from serplens.sources.storage import discard_at_exit, materialize, scratch_path
 
 END_ID = 1
 MAX_BITS = 16
 BLOCK_IDS = 1 << 18
 INTERVAL = 256
-#: Distinct words, and distinct pieces of words, that a worker remembers before it starts anew.
-REMEMBERED = 300_000
+#: Rules of a file by which words may be tokenised one by one: fixed values.
+WORD_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+WORD_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+_WHITE = b" \t\n\r\x0b\x0c"
+#: Distinct words that a worker remembers before it starts anew, 30 bytes each, and pieces of words.
+REMEMBERED, REMEMBERED_PIECES = 2_000_000, 300_000
+#: New words are merged into the others when they are more than one in this many.
+MERGED_BELOW = 4
 _tokenizers: dict[str, WordTokenizer] = {}
 
 
@@ -52,15 +67,42 @@ class _Memory(dict):
         return value
 
 
+@dataclass(frozen=True)
+class _WordTable:
+    """Sorted hashes of words, where each one's ids begin, and how many they are."""
+
+    hashes: np.ndarray
+    places: np.ndarray
+    counts: np.ndarray
+
+    @classmethod
+    def empty(cls) -> _WordTable:
+        return cls(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32))
+
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of every word, and whether it is there."""
+        if len(self.hashes) == 0:
+            return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+        place = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
+        return place, self.hashes[place] == words
+
+    def merged(self, other: _WordTable) -> _WordTable:
+        order = np.argsort(np.concatenate((self.hashes, other.hashes)), kind="stable")
+        return _WordTable(*(np.concatenate(pair)[order] for pair in (
+            (self.hashes, other.hashes), (self.places, other.places), (self.counts, other.counts))))
+
+
 class WordTokenizer:
-    """A tokenizer file with a memory, for vocabularies that drop white space between words.
+    """A tokenizer file with a memory.
 
-    Words in ASCII and the Latin-1 letters are lower-cased and cut into pieces here
+    ``by_words`` tells whether the file's rules are those that this class knows. If so,
+    words in ASCII and the Latin-1 letters are lower-cased and cut into pieces here
     and each distinct piece is looked up once in the file's model; any other word
     goes through the whole tokenizer. Both give the tokenizer's own ids.
     """
 
     SIMPLE = re.compile("[\x21-\x7e\u00c0-\u00ff]+")
+    LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
     PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
     #: Added tokens hold this; texts with it are left to the tokenizer.
     ADDED = "<|"
@@ -68,50 +110,123 @@ class WordTokenizer:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        self.by_words = (
+            rules["normalizer"] == WORD_NORMALIZER and rules["pre_tokenizer"] == WORD_PRE_TOKENIZER
+            and rules["post_processor"] is None and all(self.ADDED in t["content"] for t in rules["added_tokens"]))
         self.kind = "<u4"
-        self.words = _Memory(self._word)
         self.pieces: dict[str, bytes] = {}
-        self.letters = _byte_letters()
+        self.letters = dict(enumerate(_byte_letters()))
+        self.forget()
+
+    def forget(self) -> None:
+        """Start anew: no words are known."""
+        self.words = _Memory(self._word)
+        self.flat = np.zeros(1 << 16, self.kind)
+        self.used = 0
+        self.tables = [_WordTable.empty(), _WordTable.empty()]
 
     def _piece(self, piece: str) -> bytes:
-        mapped = "".join(self.letters[b] for b in piece.encode())
-        return np.array([t.id for t in self.whole.model.tokenize(mapped)], dtype=self.kind).tobytes()
+        ids = self.pieces.get(piece)
+        if ids is None:
+            mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+            ids = self.pieces[piece] = np.array([t.id for t in self.whole.model.tokenize(mapped)], dtype=self.kind).tobytes()
+        return ids
 
     def _library(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
+        if self.LETTERS.fullmatch(text):
+            return self._piece(text)
         if not self.SIMPLE.fullmatch(text):
             return self._library(text)
-        found = []
-        for piece in self.PIECE.findall("".join(map(str.lower, text)) if not text.isascii() else text):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                ids = self.pieces[piece] = self._piece(piece)
-            found.append(ids)
-        return b"".join(found)
+        return b"".join(map(self._piece, self.PIECE.findall(text.lower())))
 
     def ids(self, text: str | None) -> bytes:
         """Ids of a text as integers of ``kind``; null is empty."""
         if not text:
             return b""
-        if self.ADDED in text:
+        if self.ADDED in text or not self.by_words:
             return self._library(text)
-        if len(self.words) > REMEMBERED:
+        if len(self.words) > REMEMBERED_PIECES:
             self.words.clear()
-        if len(self.pieces) > REMEMBERED:
+        if len(self.pieces) > REMEMBERED_PIECES:
             self.pieces.clear()
         # The tokenizer lower-cases too; done first, it leaves fewer distinct words.
         return b"".join(map(self.words.__getitem__, text.encode().lower().split()))
 
 
+    def _learn(self, words: np.ndarray, where: np.ndarray, raw: np.ndarray, at: np.ndarray) -> None:
+        """Remember the words at the places ``where`` of a slice; ``words`` are the hashes of all."""
+        if len(self.pieces) > REMEMBERED_PIECES:
+            self.pieces.clear()
+        hashes, first = np.unique(words[where], return_index=True)
+        starts = wordhash.word_starts(raw, at)
+        stops, where = np.append(starts[1:], len(raw)), where[first]
+        ids = [self._word(raw[a:b].tobytes().rstrip(_WHITE).lower())
+               for a, b in zip(starts[where].tolist(), stops[where].tolist())]
+        flat = np.frombuffer(b"".join(ids), self.kind)
+        counts = np.array([len(x) for x in ids], np.int32) // flat.itemsize
+        while self.used + len(flat) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        self.flat[self.used:self.used + len(flat)] = flat
+        places = self.used + np.cumsum(counts, dtype=np.int64) - counts
+        self.used += len(flat)
+        large, small = self.tables
+        small = small.merged(_WordTable(hashes, places, counts))
+        if len(small.hashes) * MERGED_BELOW > len(large.hashes):
+            large, small = large.merged(small), _WordTable.empty()
+        self.tables = [large, small]
+
+    def _found(self, words: np.ndarray, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each word stand in ``flat``, and how many they are."""
+        if sum(len(t.hashes) for t in self.tables) > REMEMBERED:
+            self.forget()
+        places, counts = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        missing = np.arange(len(words))
+        for turn in range(2):
+            for table in self.tables:
+                place, known = table.find(words[missing])
+                places[missing[known]], counts[missing[known]] = table.places[place[known]], table.counts[place[known]]
+                missing = missing[~known]
+            if len(missing) == 0 or turn:
+                break
+            self._learn(words, missing, raw, at)
+        return places, counts
+
+    def slices(self, texts: pa.Array, end_id: int) -> Iterator[tuple[int, pa.Array]]:
+        """(first row, ids of each text, closed by ``end_id``) of consecutive slices of texts."""
+        end = np.array([end_id], self.kind)
+        for first, raw, at in wordhash.slices(texts):
+            n = len(at) - 1
+            if not self.by_words or self.ADDED.encode() in raw.tobytes():
+                yield first, pa.array([self.ids(t) + end.tobytes() for t in texts.slice(first, n).to_pylist()], pa.binary())
+                continue
+            words, bounds = wordhash.word_hashes(raw, at)
+            places, counts = self._found(words, raw, at)
+            stops = np.cumsum(counts)
+            total = int(stops[-1]) if len(stops) else 0
+            from_flat = np.arange(total) + np.repeat(places - (stops - counts), counts)
+            # An end after the last word of each text.
+            ends = np.concatenate(([0], stops))[bounds[1:]] if n else np.zeros(0, np.int64)
+            ids = np.insert(self.flat[from_flat], ends, end)
+            offsets = (np.concatenate(([0], ends + np.arange(1, n + 1))) * ids.itemsize).astype(np.int32)
+            yield first, pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(ids.tobytes())])
+
+
 def word_tokenizer(path: str, kind: str) -> WordTokenizer:
     """The tokenizer of a file, kept for the worker's life."""
     if path not in _tokenizers:
         _tokenizers[path] = WordTokenizer(path)
-    _tokenizers[path].kind = kind
-    return _tokenizers[path]
+    tokenizer = _tokenizers[path]
+    if tokenizer.kind != kind:
+        tokenizer.kind = kind
+        tokenizer.pieces.clear()
+        tokenizer.forget()
+    return tokenizer
 
 
 def id_type(path: str, end_id: int) -> str:
@@ -123,15 +238,12 @@ def id_type(path: str, end_id: int) -> str:
 def token_ids(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """(doc_id, ids) per row; ids as little-endian integers, closed by ``end_id``."""
     kind = id_type(path, end_id)
-    end = np.array([end_id], dtype=kind).tobytes()
 
     def run(batches):
         tokenizer = word_tokenizer(path, kind)
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                rows = batch.slice(i, 256)
-                ids = [tokenizer.ids(t) + end for t in rows.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            for first, ids in tokenizer.slices(batch.column(1), end_id):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(ids)), ids], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
         .mapInArrow(run, "doc_id bigint, ids binary")
@@ -286,7 +398,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     tokens.sparkSession.createDataFrame(
         list(zip(code.ids.tolist(), code.lengths.tolist())), "id bigint, bits bigint"
     ).coalesce(1).write.parquet(f"{folder}/code")
-    tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids") \
+    # The first ids as well, so that rows that repeat an id are dealt out too.
+    tokens.repartitionByRange("doc_id", F.substring("ids", 1, 64)).sortWithinPartitions("doc_id", "ids") \
         .mapInArrow(lambda batches: _blocks(batches, code, kind, block_ids), BLOCKS) \
         .write.parquet(f"{folder}/blocks")
 

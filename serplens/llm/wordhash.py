@@ -68,6 +68,18 @@ def byte_table(solid: np.ndarray, fold: bool = True) -> np.ndarray:
     return np.where(solid, _FOLDED if fold else _BYTE, np.uint64(0))
 
 
+def word_starts(raw: np.ndarray, at: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+    """First byte of every word."""
+    if len(raw) == 0:
+        return np.zeros(0, np.int64)
+    solid = in_words(raw) if table is None else table[raw] != 0
+    begins = solid.copy()
+    begins[1:] &= ~solid[:-1]
+    inner = at[:-1][at[:-1] < at[1:]]
+    begins[inner] = solid[inner]
+    return np.flatnonzero(begins)
+
+
 def word_hashes(raw: np.ndarray, at: np.ndarray, fold: bool = True,
                 table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word in order, and the index of each text's first word (one more at the end).
@@ -75,14 +87,7 @@ def word_hashes(raw: np.ndarray, at: np.ndarray, fold: bool = True,
     ``fold``: A-Z count as a-z. A ``table`` of ``byte_table`` stands for other words
     than those between white space.
     """
-    if len(raw) == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(at), np.int64)
-    solid = in_words(raw) if table is None else table[raw] != 0
-    begins = solid.copy()
-    begins[1:] &= ~solid[:-1]
-    inner = at[:-1][at[:-1] < at[1:]]
-    begins[inner] = solid[inner]
-    starts = np.flatnonzero(begins)
+    starts = word_starts(raw, at, table)
     if len(starts) == 0:
         return np.zeros(0, np.uint64), np.zeros(len(at), np.int64)
     # White space adds nothing, so a word may be summed up to the next word's start.
