@@ -179,11 +179,33 @@ def test_words_get_the_tokenizers_ids():
              " y z​", "中文 日本語 😀 a😀b", "t\tn\nv\x0bf\x0cr\rx\x1cg\x1d\x1f\x85", "$$$ a_b-c 12345 v1.2", "\x00a\x7f"]
     for text in texts:
         assert np.frombuffer(own.ids(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert own.by_words
 
 
-def test_files_give_the_documents_back(spark, sample, edges, nothing, tmp_path):
+def test_slices_of_texts_get_the_tokenizers_ids(monkeypatch):
+    """Over several slices, with a memory that overflows, and without one for a file of other rules."""
+    import public_tokenizers
     from tokenizers import Tokenizer
-    path = registry.tokenizer_file()
+    monkeypatch.setattr(op5, "REMEMBERED", 40)
+    rng = np.random.default_rng(8)
+    letters = list("abAB'1 ²é中😀.$\n\t ")
+    texts = [None, "", " ", "<|endoftext|>", "a<|b"] + ["".join(rng.choice(letters, rng.integers(0, 60))) for _ in range(300)]
+    for name, by_words in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
+        path = public_tokenizers.path(name)
+        whole, own = Tokenizer.from_file(path), op5.word_tokenizer(path, "<u4")
+        assert own.by_words == by_words
+        with monkeypatch.context() as patch:
+            patch.setattr(wordhash.slices, "__defaults__", (500,))
+            got = [x for _, part in own.slices(pa.array(texts), 7) for x in part.to_pylist()]
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [
+            whole.encode(t or "", add_special_tokens=False).ids + [7] for t in texts]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_files_give_the_documents_back(spark, sample, edges, nothing, tmp_path, name):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path(name)
     whole = Tokenizer.from_file(path)
     docs = sample.select("doc_id", "text").unionByName(edges.select("doc_id", "text"))
     op5.write_tokens(docs, str(tmp_path / "t"), path, block_ids=5000)

@@ -286,6 +286,36 @@ def test_viterbi_against_all_labellings():
         assert tuple(field.viterbi(features)) == best
 
 
+def test_neighbours_change_a_label(spark):
+    """A field fitted on the tables calls a line content or boilerplate by the lines around it."""
+    import numpy as np
+    folder = "/root/testdata/sf0.01"
+    field = op9.fit_field(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet"))
+    assert field.change[0, 0] > field.change[0, 1] and field.change[1, 1] > field.change[1, 0]
+    scores = field.emit.copy()
+    # The line that says least, between lines that say most.
+    margin = scores[:, 1] - scores[:, 0]
+    pull = [field.change[y, y] * 2 - field.change[1 - y, y] - field.change[y, 1 - y] for y in (0, 1)]
+    assert min(pull) > 0.5
+    weak = np.zeros((1, len(op9.FEATURES)), np.int64) + int(np.abs(margin).argmin())
+    strong = [np.zeros((1, len(op9.FEATURES)), np.int64) + int(i) for i in (margin.argmin(), margin.argmax())]
+    for label, around in enumerate(strong):
+        assert field.viterbi(np.concatenate((around, around, weak, around, around)))[2] == label
+
+
+def test_all_lines_of_labelled_documents_are_learnt(spark):
+    """What tells the labels apart stands behind hundreds of lines; repeated ids bring one row each."""
+    same = ["a plain line of text here"] * 300
+    rows = [(i, "\n".join([*same, *(["BUY!! NOW!! # | #"] * 40 if i % 2 else ["1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12."] * 40)])) for i in range(12)]
+    docs = spark.createDataFrame(rows * 3 + [(1, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(12)], "doc_id bigint, quality int")
+    lines = op9.training_lines(docs, labels)
+    assert len(lines) == 12 and {len(f) for f, _ in lines} == {340}
+    field = op9.fit(lines)
+    found = [field.viterbi(f)[-40:].mean() for f, _ in lines]
+    assert [round(x) for x in found] == [y for _, y in lines]
+
+
 def test_held_out_labels(spark):
     """Fitted on documents with an even id, judged on the others."""
     folder = "/root/testdata/sf0.01"
