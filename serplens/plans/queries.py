@@ -127,6 +127,35 @@ def csv_roundtrip(spark, sf_dir):
     return back.toDF(*schemas.ZERO_CLICK.names)
 
 
+@query
+def csv_quoted_breaks(spark, sf_dir):
+    """Page texts as another tool's CSV, line breaks inside quotes, read back by many tasks."""
+    path = scratch_path(spark, "page_texts_csv")
+    texts = [F.coalesce(c, F.lit("")).alias(c) for c in ("title", "meta_description")]
+    meta = d.page_meta(spark, sf_dir).select("path", *texts) \
+        .withColumn("both", F.concat_ws("\n", "title", F.lit('"'), "meta_description"))
+    meta.write.options(
+        header=True, quoteAll=True, escape='"', emptyValue="",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    discard_at_exit(spark, path)
+    return reports.read_csv(spark, path, meta.schema, multi_line=True, escaped=False)
+
+
+@query
+def keyed_json_minified(spark, sf_dir):
+    """Page metadata as objects keyed by path on one line each, some 1,024 pages an object, read back by brackets."""
+    path = scratch_path(spark, "page_meta_minified")
+    meta = materialize(d.page_meta(spark, sf_dir).select(*schemas.PAGE_META.names), "page_meta")
+    entry = F.struct("path", F.struct(*[c for c in meta.columns if c != "path"]))
+    objects = meta.groupBy(F.pmod(F.crc32("path"), F.lit(1 + meta.count() // 1024)).alias("part")) \
+        .agg(F.map_from_entries(F.collect_list(entry)).alias("pages"))
+    # A file holds one object, so every object has a folder of its own.
+    objects.select("part", F.to_json("pages").alias("line")).write.partitionBy("part").text(path)
+    discard_at_exit(spark, path)
+    return _flat_meta(reports.import_keyed_json(
+        spark, path, T.StructType([f for f in schemas.PAGE_META.fields if f.name != "path"]), indented=False))
+
+
 @query
 def keyed_json_import(spark, sf_dir):
     """Page metadata as one object keyed by path, indented by two, read back entry by entry."""

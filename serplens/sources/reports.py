@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from serplens import schemas
+from serplens.sources import splits
 
 #: Line breaks and U+0000 in a text and how they are written, the escape character first.
 _ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\0", "\\0"))
+#: Spaces around a text are part of it.
+_AS_IS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 #: What no text reads as: an unquoted empty field takes this value and becomes null.
 _NULL = "\0null\0"
 
@@ -56,7 +59,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """
     texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     df.select(*(_escaped(F.col(c)).alias(c) if c in texts else F.col(c) for c in df.columns)) \
-        .write.mode(mode).option("header", True).option("escape", '"').csv(path)
+        .write.mode(mode).options(header=True, escape='"', **_AS_IS).csv(path)
 
 
 def _integer(text: Column, name: str) -> Column:
@@ -73,20 +76,21 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
 
     ``null`` and ``NA`` are ordinary text. Integers are read exactly and may be
     written as ``12.0``; a malformed one raises. For files of other tools:
-    ``multi_line`` reads quoted line breaks, at the price of one task per file,
-    and ``escaped=False`` takes backslashes as they are.
+    ``multi_line`` reads quoted line breaks, at the price of writing the lines once
+    more, and ``escaped=False`` takes backslashes as they are.
     """
     integral = [f.name for f in schema.fields if isinstance(f.dataType, T.LongType)]
     as_written = T.StructType([
         T.StructField(f.name, T.StringType() if f.name in integral else f.dataType)
         for f in schema.fields
     ])
-    df = (
-        spark.read.schema(as_written)
-        .option("header", True).option("escape", '"').option("multiLine", multi_line)
-        .option("nullValue", _NULL).option("emptyValue", "")
-        .csv(path)
-    )
+    options = {"escape": '"', "nullValue": _NULL, "emptyValue": ""} | _AS_IS
+    if multi_line:
+        record = F.regexp_replace("value", r"\r\z", "")
+        df = splits.csv_records(spark, path).where("record > 1").select(record.alias("value")).where("value != ''") \
+            .select(F.from_csv("value", as_written.toDDL(), options | {"multiLine": "true", "lineSep": "\n"}).alias("v")).select("v.*")
+    else:
+        df = spark.read.schema(as_written).options(header=True, **options).csv(path)
 
     def value(f: T.StructField) -> Column:
         if f.name in integral:
@@ -105,21 +109,24 @@ def read_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(schema).json(path)
 
 
-def import_keyed_json(spark: SparkSession, path: str, values: T.StructType) -> DataFrame:
+def import_keyed_json(spark: SparkSession, path: str, values: T.StructType, indented: bool = True) -> DataFrame:
     """Rows of a ``{path: {...}}`` file, keyed by ``path``.
 
     Such files are written with an indent of two, and a JSON text holds no raw
     line break: so the end of an entry, with its comma, separates records, and a
-    file of any size is split between tasks. A file without line breaks is one
-    record. A record that is no JSON fails the job.
+    file of any size is split between tasks. ``indented=False`` reads files of any
+    layout, without line breaks too, by their brackets. A record that is no JSON
+    fails the job.
     """
-    record = F.col("value")
-    opened = record.startswith("{")
-    closed = record.rlike(r"\n\}\s*$") | (opened & ~record.startswith("{\n"))
-    whole = F.concat(F.when(opened, "").otherwise("{"), record, F.when(closed, "").otherwise("}}"))
     strict = {"mode": "FAILFAST"}
-    entries = (
-        spark.read.option("lineSep", "\n  },\n").text(path).where(F.trim("value") != "")
-        .select(F.explode(F.from_json(whole, "map<string,string>", strict)).alias("path", "value"))
-    )
+    if indented:
+        record = F.col("value")
+        opened = record.startswith("{")
+        closed = record.rlike(r"\n\}\s*$") | (opened & ~record.startswith("{\n"))
+        whole = F.concat(F.when(opened, "").otherwise("{"), record, F.when(closed, "").otherwise("}}"))
+        records = spark.read.option("lineSep", "\n  },\n").text(path).where(F.trim("value") != "")
+    else:
+        whole = F.concat(F.lit("{"), "value", F.lit("}"))
+        records = splits.json_entries(spark, path)
+    entries = records.select(F.explode(F.from_json(whole, "map<string,string>", strict)).alias("path", "value"))
     return entries.select("path", F.from_json("value", values, strict).alias("v")).select("path", "v.*")

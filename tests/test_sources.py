@@ -1,7 +1,9 @@
 """Readers, writers, snapshots and the chained steps."""
 
 import codecs
+import csv
 import json
+import random
 from datetime import date
 
 import pytest
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from serplens import schemas
 from serplens.operators import facts
 from serplens.plans import derived, steps
-from serplens.sources import buckets, landing, reports, snapshots, storage
+from serplens.sources import buckets, landing, reports, snapshots, splits, storage
 
 
 def test_responses(spark, tmp_path):
@@ -52,7 +54,7 @@ def test_report_headers(spark):
 
 
 def test_csv_keeps_texts_and_large_integers(spark, tmp_path):
-    texts = ["two\nlines", "a\\nb", "\\", "\r\n", "\\\n", 'say "x", y', "", "\0", "a\0b", "\\0", "\\\\\0\n"]
+    texts = ["two\nlines", "a\\nb", "\\", "\r\n", "\\\n", 'say "x", y', "", "\0", "a\0b", " a\t", " ", "\\0", "\\\\\0\n"]
     rows = [(t, 9007199254740993 - i) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "t string, n bigint")
     reports.write_csv(df, str(tmp_path / "c"))
@@ -86,6 +88,70 @@ def test_keyed_metadata_file(spark, tmp_path, indent):
     assert reports.import_keyed_json(spark, str(file), schemas.META_VALUES).count() == 0
 
 
+@pytest.fixture
+def small_splits(spark):
+    """Files of a few KB are read by many tasks."""
+    sizes = {"spark.sql.files.maxPartitionBytes": "2k", "spark.sql.files.openCostInBytes": "1"}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    yield
+    for key in sizes:
+        spark.conf.unset(key)
+
+
+def texts_of(pieces, n, longest, seed):
+    pick = random.Random(seed)
+    return ["".join(pick.choices(pieces, k=pick.randint(0, longest))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_quoted_breaks_over_many_splits(spark, tmp_path, small_splits, end):
+    pieces = ["a", '"', ",", "\n", "\r", "\r\n", " ", "é", "中", "\\", '""', "x y", "\n\n"]
+    texts = texts_of(pieces, 400, 30, 5) + ["\n".join(["x"] * 4000)]
+    with open(tmp_path / "q.csv", "w", newline="", encoding="utf-8") as f:
+        out = csv.writer(f, lineterminator=end, quoting=csv.QUOTE_ALL)
+        out.writerows([("t", "n"), *((t, i) for i, t in enumerate(texts))])
+    back = reports.read_csv(spark, str(tmp_path / "q.csv"), spark.createDataFrame([], "t string, n bigint").schema,
+                            multi_line=True, escaped=False)
+    assert splits.pieces(spark, str(tmp_path / "q.csv"), "\n").rdd.getNumPartitions() > 8
+    assert [r["t"] for r in sorted(back.collect(), key=lambda r: r["n"])] == texts
+
+
+def test_quoted_breaks_in_several_files(spark, tmp_path):
+    for name, rows in (("a", 'x\n"1\n1"\n'), ("b", "x\n"), ("c", 'x\n2\n\n"3\n"'), ("d", "")):
+        (tmp_path / f"{name}.csv").write_text(rows)
+    back = reports.read_csv(spark, str(tmp_path), spark.createDataFrame([], "x string").schema, multi_line=True)
+    assert sorted(r["x"] for r in back.collect()) == ["1\n1", "2", "3\n"]
+
+
+@pytest.mark.parametrize("layout", [{"indent": 2}, {"indent": 1}, {}, {"separators": (",", ":")}])
+def test_keyed_metadata_of_any_layout_over_many_splits(spark, tmp_path, small_splits, layout):
+    pieces = ['"', "\\", "}", "{", "é", ",", "\n", "[", "\\u007d"]
+    keys, titles = texts_of(pieces, 300, 4, 1), texts_of(pieces, 300, 9, 2)
+    pages = {f"/{i}{k}": {"title": t, "alternates": [{"href": f"/}}{i}", "hreflang": None}] * (i % 3), "h1": ["h{"]}
+             for i, (k, t) in enumerate(zip(keys, titles))}
+    pages["/long"] = {"title": '}"{' * 3000, "alternates": [], "h1": []}
+    (tmp_path / "m.json").write_text(json.dumps(pages, ensure_ascii=False, **layout) + "\n")
+    file = str(tmp_path / "m.json")
+    assert splits.pieces(spark, file, "}").rdd.getNumPartitions() > 8
+    rows = reports.import_keyed_json(spark, file, schemas.META_VALUES, indented=False).collect()
+    assert {r["path"]: (r["title"], [a["href"] for a in r["alternates"]], r["h1"]) for r in rows} == {
+        k: (v["title"], [a["href"] for a in v["alternates"]], v["h1"]) for k, v in pages.items()}
+
+
+@pytest.mark.parametrize("text, paths", [
+    ("", []), ("{}", []), (" { } \n", []), ('{"a":{}}', ["a"]), ('{"a":null,"b":{}}', ["a", "b"]),
+    ('{"a":{"title":"x"', None), ('{"a":{},"b":1', None), ('{"a":{}} x', None), ('{"a":{}}{"b":{}}', None)])
+def test_keyed_metadata_that_does_not_close(spark, tmp_path, text, paths):
+    (tmp_path / "m.json").write_text(text)
+    rows = reports.import_keyed_json(spark, str(tmp_path / "m.json"), schemas.META_VALUES, indented=False)
+    if paths is None:
+        with pytest.raises(Exception, match="object|MALFORMED"):
+            rows.collect()
+    else:
+        assert sorted(r["path"] for r in rows.collect()) == paths
+
+
 def test_snapshots(spark, tmp_path):
     base, empty = str(tmp_path), spark.createDataFrame([], "x int")
     days = [date(2026, 1, 9), date(2026, 1, 10)]
