@@ -16,7 +16,7 @@ from serplens.functions import jsonld
 from serplens.operators import audit, crawl, extract, facts, ranking, update
 from serplens.plans import derived as d
 from serplens.plans import steps
-from serplens.sources import buckets, landing, reports, snapshots
+from serplens.sources import buckets, days, landing, reports, snapshots
 from serplens.sources.storage import discard_at_exit, materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -254,6 +254,44 @@ def landed_fetch(spark, sf_dir):
     return snapshots.read_snapshot(spark, base, "zero_click", d.SITE.filter_tag, d.RUN_DATE, schemas.ZERO_CLICK)
 
 
+def _land_days(spark: SparkSession, sf_dir: str) -> tuple[str, str, Callable[[], None]]:
+    """Folders of landed days without their late rows and of a site's runs, and what lands those rows."""
+    entry = F.struct(F.array("query", "page").alias("keys"), "clicks", "impressions", "ctr", "position")
+    log = d.search_log(spark, sf_dir).select(
+        "run_date", F.array(entry).alias("rows"), (F.pmod(F.dayofyear("run_date"), F.lit(5)) == 0).alias("has_late"))
+    log = materialize(log.withColumn("late", F.col("has_late") & (F.pmod(F.crc32(F.col("rows")[0]["keys"][1]), F.lit(3)) == 0)), "log")
+    landed, base = scratch_path(spark, "landed_days"), scratch_path(spark, "run")
+    for folder in (landed, base):
+        discard_at_exit(spark, folder)
+
+    def land(late: bool) -> None:
+        log.where(F.col("late") == late).select("run_date", "rows") \
+            .write.mode("append").partitionBy("run_date").json(landed)
+
+    land(False)
+    return landed, base, lambda: land(True)
+
+
+@query
+def incremental_fetch(spark, sf_dir):
+    """The zero-click report of a second run, which reads only the days that got late rows."""
+    landed, base, land_late = _land_days(spark, sf_dir)
+    steps.fetch_days(spark, d.SITE, base, landed, d.AS_OF, d.RUN_DATE - timedelta(days=1))
+    land_late()
+    steps.fetch_days(spark, d.SITE, base, landed, d.AS_OF, d.RUN_DATE)
+    return snapshots.read_snapshot(spark, base, "zero_click", d.SITE.filter_tag, d.RUN_DATE, schemas.ZERO_CLICK)
+
+
+@query
+def pages_with_queries(spark, sf_dir):
+    """Pages with at least 20 queries in the window, from stored sketches and counts near the threshold."""
+    landed, base, land_late = _land_days(spark, sf_dir)
+    land_late()
+    window = landing.date_window(d.SITE.date_range, d.AS_OF)
+    days.refresh(spark, landed, base, window)
+    return days.pages_with_queries(spark, base, window, 20)
+
+
 @query
 def fetch_summary(spark, sf_dir):
     """Rows in and out of the fetch run, in one row."""

@@ -8,6 +8,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from serplens import params, schemas
 
@@ -39,8 +40,14 @@ def read_responses(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.schema(schemas.RESPONSE).json(path)
 
 
-def flatten_responses(responses: DataFrame, dimensions: Sequence[str]) -> DataFrame:
-    """One row per result row; the j-th key is the j-th dimension.
+def read_days(spark: SparkSession, path: str) -> DataFrame:
+    """Landed responses in folders ``run_date=<day>``, which filters by day prune."""
+    dated = T.StructType([*schemas.RESPONSE.fields, T.StructField("run_date", T.DateType())])
+    return spark.read.schema(dated).json(path)
+
+
+def flatten_responses(responses: DataFrame, dimensions: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """One row per result row; the j-th key is the j-th dimension, ``keep`` are columns of the response.
 
     Missing keys become ``""`` and missing metrics 0. A response without rows
     contributes nothing, so no rows at all give an empty frame with full schema.
@@ -54,4 +61,4 @@ def flatten_responses(responses: DataFrame, dimensions: Sequence[str]) -> DataFr
         F.coalesce(row[f.name], F.lit(0).cast(f.dataType)).alias(f.name)
         for f in schemas.METRIC_FIELDS
     ]
-    return responses.select(F.explode("rows").alias("row")).select(*keys, *metrics)
+    return responses.select(*keep, F.explode("rows").alias("row")).select(*keep, *keys, *metrics)
