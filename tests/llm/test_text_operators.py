@@ -1,6 +1,8 @@
 """Operators on single texts and on lines, against brute force, and on awkward tables."""
 
 import hashlib
+import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -114,6 +116,63 @@ def test_terms_that_disclose_an_entity(spark):
     assert "quux" not in clean[0].lower() and "[EMAIL]" in clean[0] and clean[50] == texts[50]
 
 
+def test_terms_are_treated_wherever_they_stand(spark):
+    texts = [f"Quuxley wrote to quux@corp.org about the matter of the day {i}" for i in range(6)]
+    texts += ["the matter of the day goes on and on for a while here and there, said Quuxley in the end",
+              "é中😀 Quuxley\u00e9 or Quuxley", *(f"the matter of the day was about number {i}" for i in range(300))]
+    # Copies add no text, so they change no share.
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(9000 + i, texts[0]) for i in range(50)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in op2.scan(docs).collect()}
+    for i in (0, 5, 6, 7, 9001):
+        text = texts[i] if i < 9000 else texts[0]
+        assert "Quuxley" in {text[t["start"]:t["stop"]] for t in got[i]["terms"]}, i
+    assert [t["start"] for t in got[7]["terms"]] == [texts[7].rindex("Quuxley")]
+    assert got[8]["terms"] == [] and len(got) == len(texts) + 50
+
+
+def test_shares_against_brute_force(spark):
+    pick = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(60)] + ["the"] * 40
+    texts = []
+    for i in range(160):
+        words = pick.choices(vocabulary, k=pick.randint(5, 30))
+        if i % 4 == 0:
+            who = pick.randrange(8)
+            at = pick.randrange(len(words) + 1)
+            words[at:at] = [f"name{who}", f"mail{who}@corp.org", f"unit{who // 2}"]
+        if i % 11 == 0:
+            words.append(f"name{pick.randrange(8)}")
+        texts.append(" ".join(words))
+    texts += texts[:30]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = op2.materialize(op2.find_entities(docs), "found")
+    pairs = op2.materialize(op2.candidate_pairs(found, docs), "pairs")
+    uses = op2.materialize(op2.occurrences(docs, pairs), "uses")
+    got = {(r["entity"], r["term"]): r["share"] for r in op2.disclosing_terms(found, pairs, uses).collect()}
+
+    distinct = sorted(set(texts))
+    held = {t: ({f"email:{w}" for w in t.split() if "@" in w}, {w for w in t.split() if "@" not in w}) for t in distinct}
+    near = set()
+    for t in distinct:
+        words = t.split()
+        for i, w in enumerate(words):
+            if "@" in w:
+                near |= {(f"email:{w}", v) for v in words[max(0, i - op2.NEAR):i + 1 + op2.NEAR] if "@" not in v}
+    expected = {}
+    for entity, term in near:
+        n_e = sum(entity in e for e, _ in held.values())
+        n_t = sum(term in w for _, w in held.values())
+        both = sum(entity in e and term in w for e, w in held.values())
+        p, z2 = both / n_t, op2.Z ** 2
+        low = (p + z2 / (2 * n_t) - op2.Z * math.sqrt(p * (1 - p) / n_t + z2 / (4 * n_t ** 2))) / (1 + z2 / n_t)
+        if low >= op2.CERTAIN:
+            share = 1 + math.log2(low) / math.log2(len(distinct) / n_e)
+            if share >= op2.GENERALISE:
+                expected[entity, term] = share
+    assert expected and got.keys() == expected.keys()
+    assert all(math.isclose(got[k], v, rel_tol=1e-9) for k, v in expected.items())
+
+
 def test_disclosure_edges(edges, nothing):
     assert op2.with_span_digest(op2.scan(nothing)).count() == 0
     rows = op2.with_span_digest(op2.scan(edges)).collect()
@@ -123,6 +182,21 @@ def test_disclosure_edges(edges, nothing):
     assert all(r["base_sha256"] == hashlib.sha256(b"").hexdigest() for r in rows if r["spans"] == "")
 
 
+def test_sanitised_texts_of_repeated_ids(spark, edges, nothing):
+    assert op2.sanitised_scan(nothing).count() == 0
+    texts = ["write to a.b@corp.org or call", "nothing here", "call +49 123 456 789 now", "", None]
+    rows = [(1, texts[0]), (1, texts[0]), (1, texts[1]), (2, texts[0]), (1, texts[2]), (None, texts[2]), (3, ""), (4, None)]
+    others = [(100 + i, f"now or here is something to write {i}") for i in range(30)]
+    docs = spark.createDataFrame(rows + others, "doc_id bigint, text string")
+    got = op2.sanitised_scan(docs.withColumn("terms", F.lit(1))).collect()
+    assert len(got) == len(rows) + 30
+    clean = [r["sanitised"] for r in got if r["sanitised"] is not None]
+    assert sorted(c.count("[EMAIL]") for c in clean) == [0, 0, 1, 1, 1] and sum("[PHONE]" in c for c in clean) == 2
+    assert not any("corp.org" in c or "123" in c for c in clean)
+    assert all(r["sanitised"] is None for r in got if not r["spans"])
+    assert len(op2.sanitised_scan(edges).collect()) == len(EDGES)
+
+
 # --- 4: secrets ---------------------------------------------------------------
 
 def test_base_spans_against_plain_patterns(spark, sample, edges):
