@@ -69,11 +69,14 @@ def repeats(found: DataFrame) -> DataFrame:
     """The units of ``found`` that are not the first of their digest, with their columns.
 
     Ranks are compared, not rows: rows that repeat both id and text are one
-    document, and a null id comes after all others.
+    document, and a null id comes after all others. The first occurrences are written,
+    so that both sides of the join are plain shuffles, of which Spark deals a hot digest
+    to several tasks; their aggregation combines it before it moves.
     """
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place", "text_hash")
     first = found.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")) \
         .where("first < last").select("digest", "first")
+    first = materialize(first, "first_units")
     return found.join(first, "digest").where(rank > F.col("first")).drop("first")
 
 
