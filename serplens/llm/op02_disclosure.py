@@ -126,7 +126,7 @@ def find_entities(docs: DataFrame) -> DataFrame:
 
 
 def term_hash(term: str) -> int:
-    """Signed hash of a lower-cased word, the same that ``term_documents`` computes from texts."""
+    """Signed hash of a lower-cased word, the same that ``term_texts`` computes from texts."""
     raw = np.frombuffer(term.encode(), np.uint8)
     return int(wordhash.word_hashes(raw, np.array([0, len(raw)]))[0].view(np.int64)[0])
 
