@@ -5,7 +5,8 @@ Words are hashed, every ``k`` consecutive words make a k-gram hash, and of every
 A run of ``window`` words that a document shares with a benchmark item holds the
 same k-grams in both, so both keep its least one: joining fingerprints finds
 every such run. Only documents with a common fingerprint go on; their hits are
-extended to all windows that the item has too, compared by 128-bit digest.
+extended to all windows that the item has too, compared by 128-bit digest. One
+pass over the words counts them and looks their fingerprints up.
 
 Items of fewer words than a window are one window as a whole. The lengths that
 occur, nine at most, are fingerprinted for all documents as plain k-grams.
@@ -26,6 +27,8 @@ from serplens.llm.tables import join_rows, keyed
 from serplens.sources.storage import materialize
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words. Cutting there is linear; listing matches copies the text for each.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 K = 5
 
@@ -33,7 +36,7 @@ K = 5
 def words(text: Column) -> Column:
     """Lower-cased words of a text; null has none."""
     lowered = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
-    return F.coalesce(F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    return F.coalesce(F.array_remove(F.split(lowered, BETWEEN), ""), F.array().cast("array<string>"))
 
 
 def _each_start(n: str, length: int, body: str) -> str:
@@ -42,24 +45,33 @@ def _each_start(n: str, length: int, body: str) -> str:
             f"ELSE array() END")
 
 
-def _run_hash(length: int, of: str = "h") -> str:
-    return f"xxhash64({length}, " + ", ".join(f"get({of}, i + {j})" for j in range(length)) + ")"
+def _hash(at: list[int]) -> Column:
+    return F.xxhash64(*[F.get(F.col("h"), F.col("i") + j) for j in at])
 
 
 def fingerprints(texts: DataFrame, window: int, k: int, short: list[int]) -> DataFrame:
-    """``texts`` with ``prints``, the distinct fingerprints; ``text`` is replaced by ``n_words``."""
-    span = window - k + 1
-    least = f"least({', '.join(f'get(g, i + {j})' for j in range(span))})" if span > 1 else "get(g, i)"
-    kept = [f"CASE WHEN n_words >= {window} THEN transform(sequence(0, n_words - {window}), i -> {least}) "
-            f"ELSE array() END"]
-    kept += [_each_start("n_words", n, _run_hash(n)) for n in short]
+    """``texts`` without ``text``, a row per start of a window and short run: n_words, head, whole, print.
+
+    A text's first row is its head and is there for every text. Rows that are not
+    ``whole`` reach beyond the text. Each start is a row of plain columns, so that
+    its hashes are compiled code, not lambdas; nothing in them is conditional, as
+    words used in several k-grams are then read once.
+    """
+    n, i = F.size("h"), F.col("i")
     hashed = texts.withColumn("h", F.transform(words(F.col("text")), lambda w: F.xxhash64(w))).drop("text")
-    return (
-        hashed.withColumn("n_words", F.size("h"))
-        .withColumn("g", F.expr(_each_start("n_words", k, _run_hash(k))))
-        .withColumn("prints", F.expr(f"array_distinct(concat({', '.join(kept)}))"))
-        .drop("h", "g")
-    )
+    last = F.greatest(n - min([*short, window]), F.lit(0))
+    rows = hashed.withColumn("i", F.explode_outer(F.sequence(F.lit(0), last)))
+    grams = [_hash(list(range(j, j + k))) for j in range(window - k + 1)]
+    least = F.least(*grams) if len(grams) > 1 else grams[0]
+    if short:
+        runs = [F.struct(F.lit(r).alias("run"), _hash(list(range(r))).alias("print")) for r in short]
+        rows = rows.select("*", F.posexplode_outer(
+            F.array(F.struct(F.lit(window).alias("run"), least.alias("print")), *runs)).alias("slot", "of")) \
+            .select("*", "of.*").drop("of")
+    else:
+        rows = rows.withColumns({"slot": F.lit(0), "run": F.lit(window), "print": least})
+    return rows.withColumns({"n_words": n, "head": (i == 0) & (F.col("slot") == 0), "whole": i <= n - F.col("run")}) \
+        .drop("h", "i", "slot", "run")
 
 
 def windows(texts: DataFrame, lengths: list[int]) -> DataFrame:
@@ -79,27 +91,42 @@ _COVERED = """aggregate(array_sort(runs), named_struct('until', 0, 'n', 0),
   a -> bigint(a.n))"""
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
-    """(doc_id, text_hash, n_hit, items) of the documents that share a window with an item."""
+def screen(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K) -> tuple[DataFrame, DataFrame]:
+    """What every document's words tell in one pass, and the benchmark's windows.
+
+    The first has a row (doc_id, text_hash, n_words, copies, suspect) for each document,
+    ``copies`` the rows that are equal to it; the second (length, digest, items).
+    """
     items = benchmark.select("item_id", "text").withColumn("n", F.size(words(F.col("text")))).where("n > 0")
     short = [r["n"] for r in items.where(F.col("n") < window).select("n").distinct().orderBy("n").collect()]
     # Written first: its size then tells Spark whether to broadcast it.
     wanted = materialize(
         fingerprints(items.select("text", "n"), window, k, short)
         # A short item is known by its whole run only, which is one of its prints.
-        .select(F.explode_outer("prints").alias("print")).distinct(), "prints")
-    rows = keyed(docs)
-    suspects = materialize(
-        fingerprints(rows, window, k, short).select("doc_id", "text_hash", F.explode_outer("prints").alias("print"))
-        .join(wanted, "print", "left_semi").select("doc_id", "text_hash").distinct(), "suspects")
-    lengths = [*short, window]
+        .where("whole").select(F.col("print").alias("wanted")).distinct(), "prints")
+    seen = fingerprints(keyed(docs), window, k, short)
+    screened = materialize(
+        seen.join(wanted, F.col("print") == F.col("wanted"), "left").groupBy("doc_id", "text_hash").agg(
+            F.max("n_words").cast("long").alias("n_words"), F.count_if("head").alias("copies"),
+            F.max(F.col("wanted").isNotNull()).alias("suspect")), "screened")
     runs = materialize(
-        windows(items, lengths).where(F.col("length") == F.least("n", F.lit(window)))
-        .select("item_id", "length", "digest").distinct(), "item_windows")
-    found = windows(join_rows(rows, suspects, "left_semi"), lengths).join(runs, ["length", "digest"])
+        windows(items, [*short, window]).where(F.col("length") == F.least("n", F.lit(window)))
+        .groupBy("length", "digest").agg(F.array_sort(F.collect_set("item_id")).alias("items")), "item_windows")
+    return screened, runs
+
+
+def hits(docs: DataFrame, screened: DataFrame, runs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc_id, text_hash, n_hit, items) of the documents that share a window with an item.
+
+    A window brings the list of its items once, however often it occurs in a document.
+    """
+    lengths = [r["length"] for r in runs.select("length").distinct().orderBy("length").collect()] or [window]
+    suspects = screened.where("suspect").select("doc_id", "text_hash")
+    found = windows(join_rows(keyed(docs), suspects, "left_semi").distinct(), lengths).join(runs, ["length", "digest"])
     return found.groupBy("doc_id", "text_hash").agg(
-        F.collect_set(F.struct("start", "length")).alias("runs"), F.collect_set("item_id").alias("items")
-    ).select("doc_id", "text_hash", F.expr(_COVERED).alias("n_hit"), "items")
+        F.collect_set(F.struct("start", "length")).alias("runs"), F.collect_set("items").alias("lists")
+    ).select("doc_id", "text_hash", F.expr(_COVERED).alias("n_hit"),
+             F.array_distinct(F.flatten("lists")).alias("items"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
@@ -111,8 +138,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
     empty benchmark leaves every document clean, an empty ``docs`` gives no rows.
     Other columns are ignored.
     """
-    counted = keyed(docs).select("doc_id", "text_hash", F.size(words(F.col("text"))).cast("long").alias("n_words"))
-    return join_rows(counted, hits(docs, benchmark, window, k), "left").select(
+    screened, runs = screen(docs, benchmark, window, k)
+    each = screened.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return join_rows(each, hits(docs, screened, runs, window), "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast(f"array<{dict(benchmark.dtypes)['item_id']}>")).alias("items"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
@@ -127,7 +155,8 @@ def with_item_digest(found: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
     """Rows of ``docs`` that share no window with the benchmark; all columns stay."""
-    found = hits(docs, benchmark, window, k).select(
+    screened, runs = screen(docs, benchmark, window, k)
+    found = hits(docs, screened, runs, window).select(
         F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash"))
     same = docs["doc_id"].eqNullSafe(found["found_id"]) & (F.xxhash64(docs["text"]) == found["found_hash"])
     return docs.join(found, same, "left_anti")
