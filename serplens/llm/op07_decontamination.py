@@ -121,8 +121,9 @@ def hits(docs: DataFrame, screened: DataFrame, runs: DataFrame, window: int = WI
     A window brings the list of its items once, however often it occurs in a document.
     """
     lengths = [r["length"] for r in runs.select("length").distinct().orderBy("length").collect()] or [window]
-    suspects = screened.where("suspect").select("doc_id", "text_hash")
-    found = windows(join_rows(keyed(docs), suspects, "left_semi").distinct(), lengths).join(runs, ["length", "digest"])
+    # Written by themselves: their size, not that of all documents, decides how texts are joined.
+    suspects = materialize(screened.where("suspect").select("doc_id", "text_hash"), "suspects")
+    found = windows(join_rows(keyed(docs), suspects, "left_semi"), lengths).join(runs, ["length", "digest"])
     return found.groupBy("doc_id", "text_hash").agg(
         F.collect_set(F.struct("start", "length")).alias("runs"), F.collect_set("items").alias("lists")
     ).select("doc_id", "text_hash", F.expr(_COVERED).alias("n_hit"),
