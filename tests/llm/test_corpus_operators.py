@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -341,6 +342,27 @@ def test_hits_against_brute_force(spark, sample, edges, short):
     assert kept.count() == sum(not r["contaminated"] for r in got)
 
 
+def test_common_passages_bring_their_items_once(spark):
+    """A passage of many items, many times in one text, and rows that repeat."""
+    passage = " ".join(f"p{i}" for i in range(12))
+    items = [(i, f"{passage} own{i}") for i in range(60)] + [(i, f"head{i} {passage}") for i in range(50, 90)]
+    text = " and then ".join([passage] * 200)
+    docs = [(1, text), (1, text), (2, "nothing of it " * 20), (2, passage), (None, passage), (3, None)]
+    got = op7.contamination(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3),
+                            spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert Counter((r["doc_id"], r["n_words"], r["n_hit"], tuple(sorted(r["items"])), r["contaminated"]) for r in got) \
+        == plain_hits(docs, items)
+
+
+def test_long_texts_are_cut_in_linear_time(spark):
+    """Two million words in one text, as op 7 and op 10 cut them."""
+    docs = spark.range(1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some Words here\n"), 700_000).alias("text"))
+    begun = time.monotonic()
+    row = docs.select(F.size(op7.words(F.col("text"))).alias("a"), mixing.word_count(F.col("text")).alias("b")).first()
+    assert (row["a"], row["b"]) == (2_100_000, 2_100_000)
+    assert time.monotonic() - begun < 60
+
+
 def test_every_long_shared_span_is_found(spark):
     """Spans of exactly a window at every offset, in texts that share nothing else."""
     item = [f"b{i}" for i in range(40)]
