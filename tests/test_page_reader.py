@@ -3,6 +3,7 @@
 import random
 import time
 
+import pyarrow as pa
 import pytest
 
 from serplens import schemas
@@ -125,6 +126,20 @@ def test_status_gate_and_failures(spark):
     assert "html" not in extract.extract_metadata(raw).columns
 
 
+def test_what_is_found_is_handed_back_a_few_pages_at_a_time():
+    text = "x" * 40_000
+    rows = [{"path": str(i), "status": 404 if i % 7 == 0 else 200, "error": "HTTP 404" if i % 7 == 0 else None,
+             "html": None if i % 7 == 0 else f"<head><title>{i}</title></head>{text if i < 300 else ''}"} for i in range(1000)]
+    batch = pa.RecordBatch.from_pylist(rows, schema=pa.schema(
+        [("path", pa.string()), ("status", pa.int32()), ("html", pa.string()), ("error", pa.string())]))
+    found = list(extract._batch_parser(extract._ARROW_META)(iter([batch, batch.slice(0, 0), batch])))
+    assert max(f.num_rows for f in found) <= extract.SLICE_PAGES
+    assert all(f.num_rows < 50 for f in found[:8])  # long pages go back sooner
+    got = [r for f in found for r in f.to_pylist()]
+    assert [(r["path"], r["status"], r["error"], r["title"]) for r in got] == 2 * [
+        (r["path"], r["status"], r["error"], None if r["error"] else r["path"]) for r in rows]
+
+
 def test_columns_follow_the_schema(spark):
     raw = spark.createDataFrame([("/x", 200, "<head></head>", None)], "path string, status int, html string, error string")
     df = extract.extract_metadata(raw)
