@@ -171,7 +171,7 @@ def choose_matches(dfs: np.ndarray, n: int, unique: int, num: int, den: int) ->
     """(matches required, shared shingles to post) for one node.
 
     ``dfs`` are the frequencies of its shingles that other nodes have, rare first;
-    ``unique`` more shingles come before them.
+    ``unique`` more shingles come before them. The first ``base + MAX_MATCHES`` of them do.
     """
     least = -(-num * n // den)
     base = n - least - unique
@@ -190,6 +190,22 @@ def choose_matches(dfs: np.ndarray, n: int, unique: int, num: int, den: int) ->
     return best[1], best[2]
 
 
+def _rare_first(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(node, n, u, df, token) of the nodes that may still link: of their ``u`` shared shingles the rarest.
+
+    These are as many as a prefix may hold, about a quarter of the set, so that batches
+    for Python stay small.
+    """
+    tokens = sets.select("node", "n", F.explode("shingles").alias("token"))
+    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    longest = f"int(size(s) - ({num}L * n + {den - 1}) div {den} + {MAX_MATCHES})"
+    return _in_bitmap(tokens, shared, "token").join(shared, "token").groupBy("node").agg(
+        F.first("n").alias("n"), F.sort_array(F.collect_set(F.struct("df", "token"))).alias("s")
+    ).where(f"{den} * size(s) >= {num} * n") \
+        .selectExpr("node", "n", "size(s) AS u", f"slice(s, 1, {longest}) AS s") \
+        .select("node", "n", "u", "s.df", "s.token")
+
+
 def _profiles(sets: DataFrame, num: int, den: int) -> DataFrame:
     """(node, n, u, l, prefix) of the nodes that may still link.
 
@@ -197,26 +213,19 @@ def _profiles(sets: DataFrame, num: int, den: int) -> DataFrame:
     ones come before the prefix to post. A node that is there twice counts twice in
     frequencies: these only order shingles, and set bounds that may be too wide.
     """
-    tokens = sets.select("node", "n", F.explode("shingles").alias("token"))
-    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    ordered = _in_bitmap(tokens, shared, "token").join(shared, "token").groupBy("node").agg(
-        F.first("n").alias("n"), F.sort_array(F.collect_set(F.struct("df", "token"))).alias("s")
-    ).where(f"{den} * size(s) >= {num} * n").select("node", "n", "s.df", "s.token")
-
     def run(batches):
         for batch in batches:
-            dfs, tokens = batch.column(2), batch.column(3)
+            dfs, tokens = batch.column(3), batch.column(4)
 
             def rows():
-                for i, (node, n) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                    df = np.asarray(dfs[i].values)
-                    matches, posted = choose_matches(df, n, n - len(df), num, den)
-                    yield node, n, len(df), matches, np.asarray(tokens[i].values)[:posted]
+                for i, (node, n, u) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)))):
+                    matches, posted = choose_matches(np.asarray(dfs[i].values), n, n - u, num, den)
+                    yield node, n, u, matches, np.asarray(tokens[i].values)[:posted]
 
             yield from _batches(rows(), ["node", "n", "u", "l", "prefix"],
                                 [pa.int64(), pa.int32(), pa.int32(), pa.int32()])
 
-    return ordered.mapInArrow(run, "node bigint, n int, u int, l int, prefix array<bigint>")
+    return _rare_first(sets, num, den).mapInArrow(run, "node bigint, n int, u int, l int, prefix array<bigint>")
 
 
 def _postings(profiles: DataFrame) -> DataFrame:

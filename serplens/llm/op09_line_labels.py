@@ -301,10 +301,12 @@ def quality(docs: DataFrame, field: Field, share: float = CONTENT_SHARE) -> Data
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(rest.index("text"))
-            found = [pa.array(c, pa.bool_() if n in ("base_failed", "kept") else pa.int64())
-                     for c, n in zip(_verdicts(texts, field, share), _NAMES)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*rest, *_NAMES])
+            # Whole rows go back, so they go in slices: a batch is not held a second time.
+            for first, _, at in wordhash.slices(batch.column(rest.index("text"))):
+                rows = batch.slice(first, len(at) - 1)
+                found = [pa.array(c, pa.bool_() if n in ("base_failed", "kept") else pa.int64())
+                         for c, n in zip(_verdicts(rows.column(rest.index("text")), field, share), _NAMES)]
+                yield pa.RecordBatch.from_arrays([*rows.columns, *found], names=[*rest, *_NAMES])
 
     return docs.select(*rest).mapInArrow(run, schema)
 

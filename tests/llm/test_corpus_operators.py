@@ -101,6 +101,24 @@ def test_prefixes_lengthen_where_candidates_are_dear():
         assert posted == 40 - 30 + matches
 
 
+def test_python_sees_only_what_prefixes_may_hold(spark):
+    many = 400
+    rows = [(i, many + 10 * i, list(range(many)) + [1000 * (i + 1) + j for j in range(10 * i)]) for i in range(6)]
+    sets = spark.createDataFrame(rows, "node bigint, n int, shingles array<bigint>")
+    times = Counter(t for *_, s in rows for t in s)
+    seen = {r["node"]: r for r in op3._rare_first(sets, 75, 100).collect()}
+    profiles = {r["node"]: r for r in op3._profiles(sets, 75, 100).collect()}
+    assert set(seen) == set(profiles) == set(range(6))
+    for node, n, s in rows:
+        shared = sorted((times[t], t) for t in s if times[t] > 1)
+        r = seen[node]
+        assert r["u"] == len(shared)
+        assert len(r["token"]) <= n // 4 + op3.MAX_MATCHES  # of 400 or more
+        whole = op3.choose_matches(np.array([d for d, _ in shared]), n, n - len(shared), 75, 100)
+        assert (profiles[node]["u"], profiles[node]["l"]) == (len(shared), whole[0])
+        assert profiles[node]["prefix"] == [t for _, t in shared[:whole[1]]]
+
+
 def test_prefixes_of_short_texts_are_posted():
     """Every node with enough shared shingles for a link posts at least as many as it requires."""
     for n in range(1, 41):
