@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from serplens.llm import wordhash
 from serplens.llm.components import connected_components
 from serplens.llm.tables import join_rows, keyed
-from serplens.sources.storage import materialize, release
+from serplens.sources.storage import let_go, materialize, release
 
 #: Share of all shingle hashes that the screen looks at; it must exceed ``1 - num/den``.
 #: At 0.4 a node stays if three in eight of them occur in another.
@@ -332,12 +332,15 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
     survivors = materialize(_survivors(docs, signed, k, num, den, share), "survivors")
     sets = materialize(_sets(docs, survivors, k), "shingle_sets")
     release(survivors)
+    let_go(docs.sparkSession)
     profiles = materialize(_profiles(sets, num, den), "prefixes")
+    let_go(docs.sparkSession)
     postings = _postings(profiles)
 
     def links(pairs):
         found = materialize(_verified(pairs, sets, num, den), "links")
         release(pairs)
+        let_go(docs.sparkSession)
         return found
 
     near = links(materialize(_star_pairs(postings, num, den), "star_pairs"))
@@ -345,7 +348,7 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
     other = materialize(_remaining_pairs(postings, contracted, num, den), "other_pairs")
     far = links(materialize(_enough_matches(other, profiles, num, den), "other_pairs"))
     release(other, profiles, sets)
-    labels = connected_components(near.unionByName(far))
+    labels = connected_components(contracted.selectExpr("node AS a", "label AS b").unionByName(far))
 
     classes = signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("class_id"))
     labelled = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

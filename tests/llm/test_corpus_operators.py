@@ -153,6 +153,55 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def executions(spark):
+    return spark._jsparkSession.sharedState().statusStore().executionsCount()
+
+
+def test_components_that_are_stars_take_no_round(spark):
+    """Of links that are stars already only the surroundings are looked at; a path takes rounds until it is one."""
+    def found(links):
+        before = executions(spark)
+        got = connected_components(spark.createDataFrame(links, "a bigint, b bigint"))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        return executions(spark) - before, sorted(map(tuple, got.collect()))
+
+    stars = [(i, 7 * j) for j in range(1, 5) for i in range(100 * j, 100 * j + 20)]
+    assert found(stars + stars) == (2, sorted([(7 * j, 7 * j) for j in range(1, 5)] + stars))
+    taken, labels = found([(i, i + 1) for i in range(30)] + [(40, 42), (41, 42), (40, 41)])
+    assert taken > 2 and labels == [(i, 0) for i in range(31)] + [(i, 40) for i in (40, 41, 42)]
+
+
+def test_components_against_union_by_search(spark):
+    rng = np.random.default_rng(3)
+    links = [tuple(map(int, rng.integers(-200, 200, 2))) for _ in range(220)]
+    label = {n: n for x in links for n in x if x[0] != x[1]}
+    for _ in label:
+        for a, b in links:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    got = connected_components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
+    assert len(got) == len(label) and dict(map(tuple, got)) == label
+
+
+def test_jaccard_join_goes_on_from_the_components_of_its_hubs(spark, monkeypatch):
+    """The second search takes a link from each node to its label, not the first one's links again."""
+    seen = []
+
+    def noted(links):
+        seen.append({tuple(r) for r in links.where("a <> b").collect()})
+        return connected_components(links)
+
+    monkeypatch.setattr(op3, "connected_components", noted)
+    words = [f"w{i}" for i in range(120)]
+    docs = [(i, " ".join([*words, *[f"x{i}y{j}" for j in range(i % 4)]])) for i in range(1, 13)]
+    got = op3.jaccard_classes(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert [r["component_id"] for r in got] == [1] * 12
+    first, second = seen
+    # Ten sets, as 4, 8 and 12 have the same one.
+    nodes = {n for link in first for n in link}
+    assert len(nodes) == 10 and second == {(n, min(nodes)) for n in nodes if n != min(nodes)} != first
+
+
 # --- 5: token blocks ----------------------------------------------------------
 
 @pytest.mark.parametrize("counts, max_bits", [
